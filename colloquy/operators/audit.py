@@ -39,8 +39,9 @@ class ColumnJudge:
     name: str
     response: Callable[[], Column]
 
-    def column(self) -> Column:
-        return self.response()
+    def column(self, run: Column | None = None) -> Column:
+        resp = self.response()
+        return resp if run is None else F.when(run, resp)
 
 
 @dataclass(frozen=True)
@@ -57,9 +58,11 @@ class BatchJudge:
     answer: Callable[[pd.Series], pd.Series]
     input_col: str = "prompt"
 
-    def column(self) -> Column:
+    def column(self, run: Column | None = None) -> Column:
         udf = F.pandas_udf(self.answer, T.StringType())
-        return udf(F.col(self.input_col))
+        prompt = F.col(self.input_col)
+        # Rows this judge must not answer reach the function as None (no prompt shipped).
+        return udf(prompt if run is None else F.when(run, prompt))
 
 
 Judge = ColumnJudge | BatchJudge
@@ -72,25 +75,56 @@ def build_prompts(corpus: DataFrame, dialogue_col: str = "dialogue") -> DataFram
     )
 
 
-def fan_out(prompts: DataFrame, judges: Sequence[Judge]) -> DataFrame:
+def fan_out(prompts: DataFrame, judges: Sequence[Judge], skip_col: str | None = None) -> DataFrame:
     """JOIN-4 + UDF-1 + UDF-2: attach every judge's raw answer to the transcript row.
 
     Adds ``verdicts``: array<struct<judge_rank, model, status, response>> in
     judge order. A null answer is a failed call (status 'failed'), kept so it
-    can be retried instead of being taken as "no errors".
+    can be retried instead of being taken as "no errors". With ``skip_col``
+    (an array of judge names per row), those judges are not asked again and
+    leave no entry.
     """
     entries = []
     for rank, judge in enumerate(judges):
-        resp = judge.column()
+        run = None if skip_col is None else ~F.array_contains(F.coalesce(F.col(skip_col), F.array()), judge.name)
+        resp = judge.column(run)
+        status = F.when(resp.isNull(), F.lit("failed")).otherwise(F.lit("ok"))
+        if run is not None:
+            status = F.when(run, status).otherwise(F.lit("skipped"))
         entries.append(
             F.struct(
                 F.lit(rank).cast("int").alias("judge_rank"),
                 F.lit(judge.name).alias("model"),
-                F.when(resp.isNull(), F.lit("failed")).otherwise(F.lit("ok")).alias("status"),
+                status.alias("status"),
                 resp.cast("string").alias("response"),
             )
         )
-    return prompts.withColumn("verdicts", F.array(*entries))
+    verdicts = F.array(*entries)
+    if skip_col is not None:
+        verdicts = F.filter(verdicts, lambda v: v.getField("status") != "skipped")
+    return prompts.withColumn("verdicts", verdicts)
+
+
+def judge_todo(
+    corpus: DataFrame,
+    verdicts: DataFrame | None,
+    judges: Sequence[Judge],
+    key: Sequence[str] = DEFAULT_AUDIT.key,
+) -> DataFrame:
+    """INC-1 at judge level: corpus rows with at least one judge lacking a successful answer,
+    plus ``done_models`` (judges that already answered), for ``fan_out(skip_col=...)``."""
+    if verdicts is None:
+        return corpus.withColumn("done_models", F.array().cast("array<string>"))
+    done = (
+        verdicts.where(F.col("status") == "ok")
+        .groupBy(*key)
+        .agg(F.collect_set("model").alias("done_models"))
+    )
+    names = F.array(*[F.lit(j.name) for j in judges])
+    joined = corpus.join(done, list(key), "left").withColumn(
+        "done_models", F.coalesce(F.col("done_models"), F.array().cast("array<string>"))
+    )
+    return joined.where(~F.forall(names, lambda n: F.array_contains(F.col("done_models"), n)))
 
 
 def verdicts_long(wide: DataFrame, key: Sequence[str] = DEFAULT_AUDIT.key, extra: Sequence[str] = ("n_lines",)) -> DataFrame:
