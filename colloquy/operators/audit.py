@@ -110,13 +110,22 @@ def judge_todo(
     verdicts: DataFrame | None,
     judges: Sequence[Judge],
     key: Sequence[str] = DEFAULT_AUDIT.key,
+    max_attempts: int = 2,
 ) -> DataFrame:
-    """INC-1 at judge level: corpus rows with at least one judge lacking a successful answer,
-    plus ``done_models`` (judges that already answered), for ``fan_out(skip_col=...)``."""
+    """INC-1 at judge level: corpus rows with at least one judge still to ask, plus
+    ``done_models`` for ``fan_out(skip_col=...)``.
+
+    A judge is done for a transcript once it answered successfully, or after
+    ``max_attempts`` failed calls (then its verdict stays 'failed' and counts
+    as no errors, as a failed call did in the published audit).
+    """
     if verdicts is None:
         return corpus.withColumn("done_models", F.array().cast("array<string>"))
+    per_pair = verdicts.groupBy(*key, "model").agg(
+        F.max(F.col("status") == "ok").alias("_ok"), F.count(F.lit(1)).alias("_attempts")
+    )
     done = (
-        verdicts.where(F.col("status") == "ok")
+        per_pair.where(F.col("_ok") | (F.col("_attempts") >= max_attempts))
         .groupBy(*key)
         .agg(F.collect_set("model").alias("done_models"))
     )

@@ -72,9 +72,14 @@ def read_verdicts(spark: SparkSession, store: AuditStore) -> DataFrame | None:
 
 
 def judge_pending(
-    spark: SparkSession, corpus: DataFrame, judges: Sequence[au.Judge], store: AuditStore, config: AuditConfig
+    spark: SparkSession,
+    corpus: DataFrame,
+    judges: Sequence[au.Judge],
+    store: AuditStore,
+    config: AuditConfig,
+    max_attempts: int = 2,
 ) -> DataFrame:
-    return au.judge_todo(corpus, read_verdicts(spark, store), judges, config.key)
+    return au.judge_todo(corpus, read_verdicts(spark, store), judges, config.key, max_attempts)
 
 
 def run_audit_job(
@@ -85,13 +90,15 @@ def run_audit_job(
     config: AuditConfig = DEFAULT_AUDIT,
     splits: Sequence[str] = SPLITS,
     run_id: int | None = None,
+    max_attempts: int = 2,
 ) -> AuditResult:
     """One resumable run over ``corpus`` (any selection of the corpus works; what is
-    not selected stays pending for a later run)."""
+    not selected stays pending for a later run). A failed judge call is retried
+    by later runs until it succeeds or has failed ``max_attempts`` times."""
     store = AuditStore(store_root)
     key = list(config.key)
     run_id = int(time.time() * 1000) if run_id is None else run_id
-    todo = judge_pending(spark, corpus, judges, store, config)
+    todo = judge_pending(spark, corpus, judges, store, config, max_attempts)
     asked = not todo.isEmpty()
     if asked:
         wide = au.fan_out(au.build_prompts(todo), judges, skip_col="done_models")

@@ -35,9 +35,10 @@ def audit_batch(
     judges: Sequence[au.Judge],
     store: AuditStore,
     config: AuditConfig = DEFAULT_AUDIT,
+    max_attempts: int = 2,
 ) -> None:
     key = list(config.key)
-    todo = au.judge_todo(batch, read_verdicts(spark, store), judges, key)
+    todo = au.judge_todo(batch, read_verdicts(spark, store), judges, key, max_attempts)
     wide = au.fan_out(au.build_prompts(todo), judges, skip_col="done_models")
     out = au.verdicts_long(wide, key).withColumn("run_id", F.lit(epoch_id).cast("long"))
     sk.append_verdicts(out, store.verdicts)
