@@ -50,13 +50,19 @@ CHAR_MAP = {
 CONTROL_CHARS = r"[\x00-\x08\x0b\x0c\x0e-\x1f]"
 # ---------------------------------------------------------------------------
 
-_TRANSLATE = str.maketrans(CHAR_MAP)
+# The map as one character class: a C-level scan finds the (rare) mapped
+# characters; str.translate with a dict would visit every character in Python.
+_MAPPED_RE = re.compile("[" + "".join(re.escape(k) for k in CHAR_MAP) + "]")
 _CONTROL_RE = re.compile(CONTROL_CHARS)
 
 
+def _mapped(m: re.Match) -> str:
+    return CHAR_MAP[m.group()]
+
+
 def fold_to_ascii(text: str) -> str:
-    """Python reference of the fold, used inside the UDF and by tests."""
-    text = unicodedata.normalize("NFKC", text).translate(_TRANSLATE)
+    """The fold on one string: NFKC, character map, NFKD, drop non-ASCII, drop controls."""
+    text = _MAPPED_RE.sub(_mapped, unicodedata.normalize("NFKC", text))
     text = unicodedata.normalize("NFKD", text).encode("ascii", "ignore").decode("ascii")
     return _CONTROL_RE.sub("", text)
 

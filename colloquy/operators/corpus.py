@@ -168,3 +168,14 @@ def cell_counts(df: DataFrame, cell: Sequence[str] = DEFAULT_CELL) -> DataFrame:
 def list_cells(df: DataFrame) -> DataFrame:
     """SRC-9: the (subset, split) pairs present; on a partitioned read this touches only partition values."""
     return df.select("subset", "split").distinct()
+
+
+def spread_for_python(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin the rows over the cluster's cores before a Python stage, but only
+    when the input arrives in fewer partitions than that (a few large files, an
+    unsplittable multi-line CSV). A large input already has far more splits than
+    cores, so at scale this adds no shuffle. Spark sorts before a round-robin
+    repartition, so a retried stage reproduces the same assignment.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

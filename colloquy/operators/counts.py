@@ -86,6 +86,11 @@ def version_categories(long_counts: DataFrame, vocab: Vocabulary = DEFAULT_VOCAB
     )
 
 
+def _sorted(df: DataFrame, *keys: Column) -> DataFrame:
+    """Order a vocabulary-sized report inside one partition (no range-sampling job)."""
+    return df.coalesce(1).sortWithinPartitions(*keys)
+
+
 def _grid(long_counts: DataFrame, order: ReportOrder) -> DataFrame:
     """Every (subset level, version level) pair, built by two generators (no join)."""
     spark = long_counts.sparkSession
@@ -117,8 +122,8 @@ def overall_with_totals(
         "_gid",
     )
     # Within a subset 'ALL' sorts before the versions (plain string order), the grand total is last.
-    return out.orderBy(
-        (F.col("_gid") == 3).asc(), order.subset_rank(F.col("subset")), F.col("transcript_version")
+    return _sorted(
+        out, (F.col("_gid") == 3).asc(), order.subset_rank(F.col("subset")), F.col("transcript_version")
     ).drop("_gid")
 
 
@@ -160,14 +165,17 @@ def pivot_by_split(
         sort_keys.append(order.subset_rank(F.col("subset")))
     if "transcript_version" in index:
         sort_keys.append(order.version_rank(F.col("transcript_version")))
-    return labelled.orderBy(*sort_keys).drop("_gid")
+    return _sorted(labelled, *sort_keys).drop("_gid")
 
 
 def long_sorted(long_counts: DataFrame, order: ReportOrder | None = None) -> DataFrame:
     """SRT-1: subset and version in category order, then split alphabetically."""
     order = order or report_order(long_counts)
-    return long_counts.orderBy(
-        order.subset_rank(F.col("subset")), order.version_rank(F.col("transcript_version")), F.col("split")
+    return _sorted(
+        long_counts,
+        order.subset_rank(F.col("subset")),
+        order.version_rank(F.col("transcript_version")),
+        F.col("split"),
     )
 
 

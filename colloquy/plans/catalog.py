@@ -57,7 +57,7 @@ def _progress(spark: SparkSession, sf: str) -> DataFrame:
 
 def _variant(spark: SparkSession, sf: str) -> DataFrame:
     """A second delivery of the corpus: ASCII-folded text filed as 'asrcorr'."""
-    c = td.corpus(spark, sf)
+    c = co.spread_for_python(td.corpus(spark, sf))
     return c.select(
         "encounter_id",
         "subset",
@@ -100,12 +100,12 @@ def q_extra_versions(spark, sf):
 
 
 def q_normalize_ascii(spark, sf):
-    d = td.table(spark, sf, "documents")
+    d = co.spread_for_python(td.table(spark, sf, "documents").select("doc_id", "text"))
     return d.select("doc_id", tx.normalize_text("text").alias("text_ascii"))
 
 
 def q_normalize_ascii_turns(spark, sf):
-    c = td.table(spark, sf, "conversations")
+    c = co.spread_for_python(td.table(spark, sf, "conversations").select("conv_id", "turn", "text"))
     return c.select("conv_id", "turn", tx.normalize_text("text").alias("text_ascii"))
 
 
@@ -163,7 +163,7 @@ def q_route_cells(spark, sf):
     routed = d.select(
         F.col("doc_id").cast("string").alias("encounter_id"),
         tx.normalize_dataset_name(raw).alias("subset"),
-        td.split_of(F.col("n_chars"), F.col("text")).alias("split"),
+        td.split_of(F.col("n_chars")).alias("split"),
     )
     return co.route_cells(co.route_subsets(routed, td.TESTDATA_VOCAB, on_unknown="drop"), td.TESTDATA_VOCAB)
 
@@ -376,7 +376,7 @@ _VERSIONS_SQL = "['asr','asrcorr','humantrans']"
 CORPUS = rf"""corpus AS (
   SELECT CAST(doc_id AS VARCHAR) AS encounter_id,
          lang AS subset,
-         {_SPLITS_SQL}[coalesce(n_chars, length(text)) % 5 + 1] AS split,
+         {_SPLITS_SQL}[n_chars % 5 + 1] AS split,
          {_VERSIONS_SQL}[TRY_CAST(regexp_extract(source, '(\d+)$', 1) AS INTEGER) % 3 + 1] AS transcript_version,
          coalesce(text, '') AS dialogue,
          source AS note, doc_id, n_chars

@@ -70,7 +70,8 @@ def manifest(spark: SparkSession, cell_counts: DataFrame | None, vocab: Vocabula
         out = out.join(counts, ["config", "split"], "left").withColumn(
             "n_rows", F.coalesce(F.col("n_rows"), F.lit(0)).cast("long")
         )
-    return out.orderBy("config_rank", "split_rank").drop("config_rank", "split_rank")
+    # Vocabulary-sized: ordered inside one partition.
+    return out.coalesce(1).sortWithinPartitions("config_rank", "split_rank").drop("config_rank", "split_rank")
 
 
 def write_counts_csv(long_counts: DataFrame, path: str) -> None:

@@ -40,8 +40,8 @@ def _pick(values, index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
 
 
-def split_of(n_chars: Column, text: Column) -> Column:
-    return _pick(SPLITS, F.pmod(F.coalesce(n_chars, F.char_length(text)), F.lit(5)))
+def split_of(n_chars: Column) -> Column:
+    return _pick(SPLITS, F.pmod(n_chars, F.lit(5)))
 
 
 def version_of(source: Column) -> Column:
@@ -55,7 +55,7 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(
         F.col("doc_id").cast("string").alias("encounter_id"),
         F.col("lang").alias("subset"),
-        split_of(F.col("n_chars"), F.col("text")).alias("split"),
+        split_of(F.col("n_chars")).alias("split"),
         version_of(F.col("source")).alias("transcript_version"),
         F.coalesce(F.col("text"), F.lit("")).alias("dialogue"),
         F.col("source").alias("note"),
