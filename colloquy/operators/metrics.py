@@ -105,46 +105,39 @@ def metrics(
     )
     tot = tot.withColumn("grouping", F.element_at(tot_name, F.col("_gid").cast("int"))).drop("_gid")
 
-    # Total-bearing groupings: every spine row, findings joined in (null-safe on the rolled-up key).
-    found = agg.where(F.col("grouping").isin("summary", "by_subset", "by_split", "by_subset_and_split"))
+    # One null-safe full join of the two small tables: total-bearing groupings keep
+    # every spine row (zero-filled, JOIN-5) with its total (JOIN-6); version
+    # groupings have no spine and come through from the findings side alone.
+    a = agg.select(*[F.col(c).alias(f"a_{c}") for c in agg.columns])
     cond = (
-        (tot["grouping"] == found["grouping"])
-        & tot["subset"].eqNullSafe(found["subset"])
-        & tot["split"].eqNullSafe(found["split"])
-    )
-    with_totals = tot.join(found, cond, "left").select(
-        tot["grouping"],
-        tot["subset"],
-        tot["split"],
-        F.lit(None).cast("string").alias("transcript_version"),
-        tot["total_notes"],
-        F.coalesce(found["notes_with_errors"], F.lit(0)).cast("long").alias("notes_with_errors"),
-        F.coalesce(found["all_models_found_errors"], F.lit(0)).cast("long").alias("all_models_found_errors"),
-        F.coalesce(found["majority_consensus_errors"], F.lit(0)).cast("long").alias("majority_consensus_errors"),
-    )
-    with_totals = with_totals.withColumn(
-        "error_percentage",
-        F.when(F.col("grouping") == "summary", F.lit(None).cast("double")).otherwise(
-            vd.percentage(F.col("notes_with_errors"), F.col("total_notes"))
-        ),
-    ).withColumn(
-        "all_models_found_errors",
-        F.when(F.col("grouping") == "summary", F.lit(None).cast("long")).otherwise(F.col("all_models_found_errors")),
-    )
-
-    by_version = agg.where(F.col("grouping").isin("by_transcript_version", "by_subset_and_transcript_version"))
-    by_version = by_version.select(
-        "grouping",
-        "subset",
-        F.lit(None).cast("string").alias("split"),
-        "transcript_version",
-        F.lit(None).cast("long").alias("total_notes"),
-        "notes_with_errors",
-        F.lit(None).cast("double").alias("error_percentage"),
-        "all_models_found_errors",
-        "majority_consensus_errors",
-    )
-    return with_totals.select(*METRIC_COLUMNS).unionByName(by_version.select(*METRIC_COLUMNS))
+        (a["a_grouping"] == tot["grouping"])
+        & a["a_subset"].eqNullSafe(tot["subset"])
+        & a["a_split"].eqNullSafe(tot["split"])
+    )
+    j = a.join(tot, cond, "full")
+    by_version = F.col("a_grouping").isin("by_transcript_version", "by_subset_and_transcript_version")
+    # A finding outside the spine (a split not configured) only counts in the summary.
+    j = j.where(by_version | F.col("grouping").isNotNull())
+    grouping = F.coalesce(F.col("grouping"), F.col("a_grouping"))
+    is_summary = grouping == "summary"
+    nwe = F.coalesce(F.col("a_notes_with_errors"), F.lit(0)).cast("long")
+    out = j.select(
+        grouping.alias("grouping"),
+        F.when(by_version, F.col("a_subset")).otherwise(F.col("subset")).alias("subset"),
+        F.when(by_version, F.lit(None)).otherwise(F.col("split")).cast("string").alias("split"),
+        F.when(by_version, F.col("a_transcript_version")).cast("string").alias("transcript_version"),
+        F.col("total_notes").cast("long").alias("total_notes"),
+        nwe.alias("notes_with_errors"),
+        F.when(by_version | is_summary, F.lit(None).cast("double"))
+        .otherwise(vd.percentage(nwe, F.col("total_notes")))
+        .alias("error_percentage"),
+        F.when(is_summary, F.lit(None).cast("long"))
+        .otherwise(F.coalesce(F.col("a_all_models_found_errors"), F.lit(0)))
+        .cast("long")
+        .alias("all_models_found_errors"),
+        F.coalesce(F.col("a_majority_consensus_errors"), F.lit(0)).cast("long").alias("majority_consensus_errors"),
+    )
+    return out.select(*METRIC_COLUMNS)
 
 
 def metrics_document(metrics_long: DataFrame) -> DataFrame:

@@ -181,6 +181,25 @@ def q_notes_per_cell(spark, sf):
     return co.cell_counts(td.corpus(spark, sf))
 
 
+def q_rows_per_source(spark, sf):
+    """AGG-19: rows loaded per source file (the ``source`` column plays the file)."""
+    return td.table(spark, sf, "documents").groupBy(F.col("source").alias("file")).agg(
+        F.count(F.lit(1)).cast("long").alias("rows_loaded")
+    )
+
+
+def q_versions_seen(spark, sf):
+    """AGG-20: distinct versions among the rows and among the findings, side by side."""
+    rows = td.corpus(spark, sf).select("transcript_version").distinct().withColumn("in_rows", F.lit(True))
+    found = _findings(spark, sf).select("transcript_version").distinct().withColumn("in_findings", F.lit(True))
+    both = rows.join(found, "transcript_version", "full")
+    return both.select(
+        "transcript_version",
+        F.coalesce("in_rows", F.lit(False)).alias("in_rows"),
+        F.coalesce("in_findings", F.lit(False)).alias("in_findings"),
+    )
+
+
 def q_version_lookup(spark, sf):
     c = td.corpus(spark, sf).select("encounter_id", "subset")
     return co.attach_default_version(c, td.TESTDATA_VOCAB, on_unknown="error")
@@ -343,6 +362,8 @@ QUERIES: dict[str, Query] = {
     "select_splits": q_select_splits,
     "list_cells": q_list_cells,
     "notes_per_cell": q_notes_per_cell,
+    "rows_per_source": q_rows_per_source,
+    "versions_seen": q_versions_seen,
     "version_lookup": q_version_lookup,
     "manifest": q_manifest,
     "parse_names": q_parse_names,
@@ -532,6 +553,13 @@ UNION ALL
 SELECT encounter_id, subset, split, 'test1+test2+test3' FROM corpus WHERE split IN ('test1', 'test2', 'test3')""",
     "list_cells": f"""WITH {CORPUS} SELECT DISTINCT subset, split FROM corpus""",
     "notes_per_cell": f"""WITH {CORPUS} SELECT subset, split, count(*) AS n_rows FROM corpus GROUP BY ALL""",
+    "rows_per_source": """SELECT source AS file, count(*) AS rows_loaded FROM documents GROUP BY source""",
+    "versions_seen": f"""WITH {CORPUS}, {LABELLED}, {FLAGS},
+r AS (SELECT DISTINCT transcript_version FROM corpus),
+g AS (SELECT DISTINCT transcript_version FROM f)
+SELECT coalesce(r.transcript_version, g.transcript_version) AS transcript_version,
+       r.transcript_version IS NOT NULL AS in_rows, g.transcript_version IS NOT NULL AS in_findings
+FROM r FULL JOIN g ON r.transcript_version = g.transcript_version""",
     "version_lookup": f"""WITH {CORPUS}
 SELECT c.encounter_id, c.subset, v.tv AS transcript_version
 FROM corpus c JOIN (VALUES ('en', 'asr'), ('de', 'humantrans'), ('fr', 'humantrans'), ('es', 'asrcorr')) v(subset, tv)
