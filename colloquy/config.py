@@ -51,12 +51,21 @@ class Vocabulary:
         return dict(self.challenge_version)
 
 
+TRANSCRIPT_KEY = "transcript_key"
+
+
 @dataclass(frozen=True)
 class AuditConfig:
-    """Judge set and the key that identifies one transcript."""
+    """Judge set and the key that identifies one transcript.
+
+    The default key adds a SHA-256 of the dialogue to the four published key
+    columns: variant files without an id column give every row the id '', so
+    the published key alone would merge thousands of transcripts into one
+    (hot) key. After keep-first dedup, (cell, version, dialogue) is unique.
+    """
 
     judges: tuple[str, ...] = JUDGE_MODELS
-    key: tuple[str, ...] = ("subset", "split", "encounter_id", "transcript_version")
+    key: tuple[str, ...] = ("subset", "split", "encounter_id", "transcript_version", TRANSCRIPT_KEY)
 
     @property
     def n_models(self) -> int:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from colloquy.config import DEFAULT_AUDIT, AuditConfig
+from colloquy.config import DEFAULT_AUDIT, TRANSCRIPT_KEY, AuditConfig
 from colloquy.functions import prompt as pr
 from colloquy.functions import text as tx
 from colloquy.functions import verdict as vd
@@ -68,6 +68,13 @@ class BatchJudge:
 Judge = ColumnJudge | BatchJudge
 
 
+def with_transcript_key(corpus: DataFrame, key: Sequence[str] = DEFAULT_AUDIT.key) -> DataFrame:
+    """Add the dialogue digest when the audit key asks for it and the corpus lacks it."""
+    if TRANSCRIPT_KEY in key and TRANSCRIPT_KEY not in corpus.columns:
+        return corpus.withColumn(TRANSCRIPT_KEY, F.sha2(F.col("dialogue"), 256))
+    return corpus
+
+
 def build_prompts(corpus: DataFrame, dialogue_col: str = "dialogue") -> DataFrame:
     """FN-4 + FN-6: number the lines and render the prompt; keep the line count for range resolution."""
     return corpus.withColumn("prompt", pr.render_prompt(tx.prepare_transcript(dialogue_col))).withColumn(
@@ -236,5 +243,5 @@ def run_audit(
     corpus: DataFrame, judges: Sequence[Judge], config: AuditConfig = DEFAULT_AUDIT
 ) -> tuple[DataFrame, DataFrame]:
     """One pass: prompts -> judges -> (long verdicts, findings). Both lazily share the same plan."""
-    wide = fan_out(build_prompts(corpus), judges)
+    wide = fan_out(build_prompts(with_transcript_key(corpus, config.key)), judges)
     return verdicts_long(wide, config.key), findings(wide, config.key)

@@ -97,6 +97,7 @@ def run_audit_job(
     by later runs until it succeeds or has failed ``max_attempts`` times."""
     store = AuditStore(store_root)
     key = list(config.key)
+    corpus = au.with_transcript_key(corpus, key)
     run_id = int(time.time() * 1000) if run_id is None else run_id
     todo = judge_pending(spark, corpus, judges, store, config, max_attempts)
     asked = not todo.isEmpty()
@@ -124,13 +125,16 @@ def finish_run(
     gathered = au.gather_verdicts(verdicts, key)
     sk.write_findings(au.findings(gathered, key), store.findings)
     sk.write_progress(au.progress_from_verdicts(verdicts, key), store.progress)
-    findings = spark.read.schema(_finding_schema()).option("basePath", store.findings).json(store.findings)
+    findings = spark.read.schema(_finding_schema(key)).option("basePath", store.findings).json(store.findings)
     totals = co.cell_counts(corpus)
     sk.write_metrics(me.metrics(findings, totals, config.n_models, splits), store.metrics, store.metrics_json)
     return AuditResult(asked, verdicts, findings, spark.read.parquet(store.metrics))
 
 
-def _finding_schema():
+def _finding_schema(key: Sequence[str]):
+    from pyspark.sql import types as T
+
     from colloquy.schemas import FINDING
 
-    return FINDING
+    extra = [T.StructField(k, T.StringType()) for k in key if k not in FINDING.fieldNames()]
+    return T.StructType(FINDING.fields + extra)

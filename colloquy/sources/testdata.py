@@ -29,7 +29,11 @@ TESTDATA_VOCAB = Vocabulary(
     challenge_version=(("en", "asr"), ("de", "humantrans"), ("fr", "humantrans"), ("es", "asrcorr")),
 )
 
-TESTDATA_AUDIT = AuditConfig(judges=("judge/quality", "judge/toxicity", "judge/length"))
+# doc_id is unique in the test tables, so the four published key columns identify a transcript.
+TESTDATA_AUDIT = AuditConfig(
+    judges=("judge/quality", "judge/toxicity", "judge/length"),
+    key=("subset", "split", "encounter_id", "transcript_version"),
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

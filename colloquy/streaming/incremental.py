@@ -38,6 +38,7 @@ def audit_batch(
     max_attempts: int = 2,
 ) -> None:
     key = list(config.key)
+    batch = au.with_transcript_key(batch, key)
     todo = au.judge_todo(batch, read_verdicts(spark, store), judges, key, max_attempts)
     wide = au.fan_out(au.build_prompts(todo), judges, skip_col="done_models")
     out = au.verdicts_long(wide, key).withColumn("run_id", F.lit(epoch_id).cast("long"))
