@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from colloquy.config import DEFAULT_AUDIT
@@ -76,3 +76,32 @@ def line_table(corpus: DataFrame, key: Sequence[str] = DEFAULT_AUDIT.key) -> Dat
         tx.utterance(F.col("line")).alias("utterance"),
         "line",
     )
+
+
+def number_within_group(
+    df: DataFrame,
+    group: Sequence[str],
+    order: str,
+    out: str = "line_no",
+    bucket_width: int = 1 << 16,
+) -> DataFrame:
+    """1-based row number of every row inside its group by ``order`` (a numeric key),
+    without sending a whole group to one task.
+
+    Rows are cut into buckets of ``bucket_width`` consecutive order values; one
+    small aggregation counts rows per (group, bucket), a window over those counts
+    (one row per bucket) gives each bucket's offset, and rows are numbered inside
+    their bucket only. A conversation with a billion turns becomes ~15k buckets of
+    at most ``bucket_width`` rows each (for dense keys such as turn numbers).
+    """
+    group = list(group)
+    bucket = F.floor(F.col(order) / F.lit(bucket_width)).cast("long")
+    b = df.withColumn("_bucket", bucket)
+    counts = b.groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    w_prev = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*group, "_bucket", F.coalesce(F.sum("_n").over(w_prev), F.lit(0)).alias("_offset"))
+    w_in = Window.partitionBy(*group, "_bucket").orderBy(F.col(order))
+    numbered = b.withColumn("_rn", F.row_number().over(w_in))
+    return numbered.join(offsets, [*group, "_bucket"]).select(
+        *[c for c in df.columns], (F.col("_offset") + F.col("_rn")).cast("long").alias(out)
+    )

@@ -15,11 +15,13 @@ from pyspark.sql import functions as F
 
 from colloquy.functions import names as nm
 from colloquy.functions import text as tx
-from colloquy.functions.prompt import PROMPT_HEAD, PROMPT_TAIL
+from colloquy.functions import verdict as vd
+from colloquy.functions.prompt import PROMPT_HEAD, PROMPT_TAIL, render_prompt
 from colloquy.operators import audit as au
 from colloquy.operators import corpus as co
 from colloquy.operators import counts as ct
 from colloquy.operators import metrics as me
+from colloquy.operators.resolve import flagged_ranges, number_within_group, resolve_ranges, with_line_counts
 from colloquy.sinks.layout import manifest
 from colloquy.sources import tables as tb
 from colloquy.sources import testdata as td
@@ -124,11 +126,12 @@ def q_build_dialogues(spark, sf):
 
 
 def q_line_table(spark, sf):
-    dlg = td.dialogues(spark, sf)
-    lines = dlg.select("conv_id", F.posexplode(tx.split_lines("dialogue")).alias("pos", "line"))
+    """WIN-2 + FN-16 at turn level: every turn is one dialogue line, numbered inside its
+    conversation without gathering the conversation into one group."""
+    lines = number_within_group(td.conversation_lines(spark, sf), ["conv_id"], "turn")
     return lines.select(
         "conv_id",
-        (F.col("pos") + 1).cast("long").alias("line_no"),
+        "line_no",
         tx.speaker_tag(F.col("line")).alias("speaker"),
         tx.utterance(F.col("line")).alias("utterance"),
     )
@@ -239,8 +242,6 @@ def q_parse_names(spark, sf):
 
 def q_prompt_render(spark, sf):
     d = td.table(spark, sf, "documents")
-    from colloquy.functions.prompt import render_prompt
-
     return d.select("doc_id", render_prompt(tx.prepare_transcript(F.coalesce("text", F.lit("")))).alias("prompt"))
 
 
@@ -278,8 +279,6 @@ def q_models_flagging(spark, sf):
 def q_consensus(spark, sf):
     f = _findings(spark, sf)
     n_flag = F.size("models_with_errors")
-    from colloquy.functions import verdict as vd
-
     return f.groupBy("subset").agg(
         F.count(F.lit(1)).cast("long").alias("notes_with_errors"),
         F.count_if(vd.unanimous("models_with_errors", N_MODELS)).cast("long").alias("all_models_found_errors"),
@@ -307,16 +306,12 @@ def q_processed_keys(spark, sf):
 
 
 def q_resolve_ranges(spark, sf):
-    from colloquy.operators.resolve import flagged_ranges, resolve_ranges
-
     ranges = flagged_ranges(_findings(spark, sf), KEY)
     lines = resolve_ranges(ranges, td.corpus(spark, sf), KEY)
     return lines.select("encounter_id", "model", F.col("line_no").cast("long").alias("line_no"), "line")
 
 
 def q_range_lengths(spark, sf):
-    from colloquy.operators.resolve import flagged_ranges, with_line_counts
-
     ranges = with_line_counts(flagged_ranges(_findings(spark, sf), KEY), td.corpus(spark, sf), KEY)
     return ranges.select(
         "encounter_id",

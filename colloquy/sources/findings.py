@@ -14,21 +14,13 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_findings_json(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-10: findings in the published shape (a JSON array of records, or JSON lines);
+    """SRC-10: findings in the published shape (one JSON array of records per file);
     a missing file or folder gives an empty table with the finding schema."""
     if not _exists(spark, path):
         return spark.createDataFrame([], FINDING)
     return spark.read.schema(FINDING).option("multiLine", True).json(path)
 
 
-def read_findings_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Findings written by ``sinks.findings.write_findings`` (JSON lines partitioned by subset)."""
-    if not _exists(spark, path):
-        return spark.createDataFrame([], FINDING)
-    schema = FINDING
-    return spark.read.schema(schema).option("basePath", path).json(path)
-
-
 def read_progress_json(spark: SparkSession, path: str) -> DataFrame:
     """SRC-11: the shipped ``{subset: [[split, encounter_id], ...]}`` object as a
     distinct (subset, split, encounter_id) table; a missing file gives an empty table."""

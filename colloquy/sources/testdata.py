@@ -80,16 +80,25 @@ def conversation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("conv_id", "turn", line.alias("line"))
 
 
-def dialogues(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dialogues(spark: SparkSession, sf_dir: str, chunk_turns: int = 4096) -> DataFrame:
     """Dialogue text per conversation, lines in turn order.
 
-    One group per conversation holds that conversation's turns only; the
-    dialogue is a single value in the data model, so a group is bounded by
-    one record.
+    Two levels: turns are first joined into chunks of at most ``chunk_turns``
+    consecutive turns per (conversation, chunk), then the chunks of a
+    conversation are joined in order. No group sorts or holds more than one
+    chunk's turns, or one conversation's chunk strings; the result is one value
+    per conversation, as the data model requires.
     """
-    lines = conversation_lines(spark, sf_dir)
-    agg = lines.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "line"))).alias("_t"))
-    return agg.select("conv_id", F.array_join(F.transform("_t", lambda x: x.getField("line")), "\n").alias("dialogue"))
+    lines = conversation_lines(spark, sf_dir).withColumn(
+        "_chunk", F.floor(F.col("turn") / F.lit(chunk_turns)).cast("long")
+    )
+    chunks = lines.groupBy("conv_id", "_chunk").agg(
+        F.array_join(
+            F.transform(F.array_sort(F.collect_list(F.struct("turn", "line"))), lambda x: x.getField("line")), "\n"
+        ).alias("_text")
+    )
+    agg = chunks.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("_chunk", "_text"))).alias("_c"))
+    return agg.select("conv_id", F.array_join(F.transform("_c", lambda x: x.getField("_text")), "\n").alias("dialogue"))
 
 
 def labelled_prompt_inputs(spark: SparkSession, sf_dir: str, corpus_df: DataFrame | None = None) -> DataFrame:

@@ -6,7 +6,6 @@ import os
 import pandas as pd
 from pyspark.sql import functions as F
 
-from colloquy.config import DEFAULT_AUDIT
 from colloquy.functions import verdict as vd
 from colloquy.operators import audit as au
 from colloquy.operators import metrics as me

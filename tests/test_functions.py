@@ -179,3 +179,23 @@ def test_percentage_matches_python_round_off_ties(spark):
         exact = a * 10000 / b
         if abs(exact - round(exact) - 0.5) > 1e-9 and abs(exact - round(exact) + 0.5) > 1e-9:
             assert r == round(a / b * 100, 2), (a, b)
+
+
+def test_number_within_group_matches_row_number(spark):
+    from pyspark.sql import Window
+
+    from colloquy.operators.resolve import number_within_group
+
+    rows = [(g, t) for g in range(4) for t in range(0, 50 * (g + 1), 1 + g)]
+    df = spark.createDataFrame(rows, "g long, t long")
+    got = number_within_group(df, ["g"], "t", bucket_width=7)
+    want = df.withColumn("line_no", F.row_number().over(Window.partitionBy("g").orderBy("t")).cast("long"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_dialogue_chunks_do_not_change_the_text(spark):
+    from colloquy.sources import testdata as td
+
+    small = {r.conv_id: r.dialogue for r in td.dialogues(spark, "/root/testdata/sf0.001", chunk_turns=2).collect()}
+    whole = {r.conv_id: r.dialogue for r in td.dialogues(spark, "/root/testdata/sf0.001").collect()}
+    assert small == whole and len(whole) > 0
