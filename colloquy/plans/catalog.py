@@ -628,7 +628,7 @@ fa AS (
            WHEN 7 THEN 'summary' WHEN 3 THEN 'by_subset' WHEN 5 THEN 'by_split' WHEN 1 THEN 'by_subset_and_split'
            WHEN 6 THEN 'by_transcript_version' ELSE 'by_subset_and_transcript_version' END AS grouping,
          subset, split, transcript_version,
-         count(*) AS nwe, count(*) FILTER (WHERE k = 3) AS allm, count(*) FILTER (WHERE k * 2 > 3) AS maj
+         count(*) AS nwe, count(*) FILTER (WHERE k = 3) AS unan, count(*) FILTER (WHERE k * 2 > 3) AS maj
   FROM f
   GROUP BY GROUPING SETS ((), (subset), (split), (subset, split), (transcript_version), (subset, transcript_version))),
 t AS (SELECT subset, split, count(*) AS n FROM corpus GROUP BY ALL),
@@ -641,18 +641,18 @@ ta AS (
          subset, split, sum(n) AS total
   FROM ctt GROUP BY GROUPING SETS ((), (subset), (split), (subset, split))),
 j AS (
-  SELECT ta.grouping, ta.subset, ta.split, ta.total, coalesce(fa.nwe, 0) AS nwe, coalesce(fa.allm, 0) AS allm,
+  SELECT ta.grouping, ta.subset, ta.split, ta.total, coalesce(fa.nwe, 0) AS nwe, coalesce(fa.unan, 0) AS unan,
          coalesce(fa.maj, 0) AS maj
   FROM ta LEFT JOIN fa ON fa.grouping = ta.grouping AND fa.subset IS NOT DISTINCT FROM ta.subset
                        AND fa.split IS NOT DISTINCT FROM ta.split)
 SELECT grouping, subset, split, CAST(NULL AS VARCHAR) AS transcript_version, CAST(total AS BIGINT) AS total_notes,
        CAST(nwe AS BIGINT) AS notes_with_errors,
        CASE WHEN grouping = 'summary' THEN NULL ELSE {_pct("nwe", "total")} END AS error_percentage,
-       CASE WHEN grouping = 'summary' THEN NULL ELSE CAST(allm AS BIGINT) END AS all_models_found_errors,
+       CASE WHEN grouping = 'summary' THEN NULL ELSE CAST(unan AS BIGINT) END AS all_models_found_errors,
        CAST(maj AS BIGINT) AS majority_consensus_errors
 FROM j
 UNION ALL
-SELECT grouping, subset, NULL, transcript_version, NULL, CAST(nwe AS BIGINT), NULL, CAST(allm AS BIGINT),
+SELECT grouping, subset, NULL, transcript_version, NULL, CAST(nwe AS BIGINT), NULL, CAST(unan AS BIGINT),
        CAST(maj AS BIGINT)
 FROM fa WHERE grouping IN ('by_transcript_version', 'by_subset_and_transcript_version')""",
     "pending": f"""WITH {CORPUS}
