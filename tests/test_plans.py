@@ -76,3 +76,46 @@ def test_published_read_prunes_partitions(spark, tmp_path):
     assert df.count() == td.corpus(spark, SF_SMALL).where(F.col("subset") == "en").where(
         F.col("split").isin("train", "valid")
     ).count()
+
+
+def _shuffle_records(df) -> list[int]:
+    """Records written by every shuffle of an executed DataFrame (final adaptive plan)."""
+
+    def walk(node, acc):
+        if "QueryStage" in node.nodeName():
+            walk(node.plan(), acc)
+        if "ShuffleExchange" in node.getClass().getSimpleName():
+            acc.append(int(node.metrics().apply("shuffleRecordsWritten").value()))
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i), acc)
+        return acc
+
+    plan = df._jdf.queryExecution().executedPlan()
+    return walk(plan.executedPlan() if hasattr(plan, "executedPlan") else plan, [])
+
+
+def test_hot_key_collapses_before_the_shuffle(spark):
+    """A dialogue copied across a third of the rows leaves each map task as one row."""
+    from pyspark.sql import functions as F
+
+    from colloquy.operators.corpus import dedup_keep_first
+
+    n, parts = 30000, 6
+    df = spark.range(n, numPartitions=parts).select(
+        F.lit("aci").alias("subset"),
+        F.lit("train").alias("split"),
+        F.lit("asr").alias("transcript_version"),
+        F.when(F.col("id") % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("d"), F.col("id").cast("string"))).alias(
+            "dialogue"
+        ),
+        F.lit(0).alias("src_rank"),
+        F.lit("f").alias("file_path"),
+        F.col("id").alias("row_pos"),
+    )
+    out = dedup_keep_first(df)
+    rows = out.collect()
+    distinct_other = n - n // 3
+    assert len(rows) == distinct_other + 1
+    assert [r.row_pos for r in rows if r.dialogue == ""] == [0]  # the first copy is kept
+    assert _shuffle_records(out) == [distinct_other + parts]
