@@ -1,9 +1,9 @@
 """Audit metrics over six groupings in one grouping-sets pass (AGG-9 .. AGG-15, JOIN-5/6).
 
-The findings are first reduced to one row per (subset, split, version) cell
-with conditional counts (partial aggregation, one small shuffle); the grouping
-sets, zero-filled spines and percentages are then computed on that cell table
-and on the per-cell corpus totals, both of which are vocabulary-sized.
+One grouping-sets aggregation over the findings (expanded and partially
+aggregated in the map tasks, one small shuffle) gives all six groupings; the
+zero-filled totals spine comes from the per-cell corpus counts; both are
+vocabulary-sized when they meet in one null-safe full join.
 """
 
 from __future__ import annotations
@@ -72,7 +72,7 @@ def metrics(
     ``splits``; version groupings list observed versions only and carry no
     totals or percentages (quirk Q14); the summary has no unanimity count.
     """
-    cells = finding_cells(findings, n_models)
+    n_flag = F.size("models_with_errors")
     sets = [
         [],
         ["subset"],
@@ -81,21 +81,25 @@ def metrics(
         ["transcript_version"],
         ["subset", "transcript_version"],
     ]
-    agg = cells.groupingSets(sets, "subset", "split", "transcript_version").agg(
-        F.sum("notes_with_errors").cast("long").alias("notes_with_errors"),
-        F.sum("all_models_found_errors").cast("long").alias("all_models_found_errors"),
-        F.sum("majority_consensus_errors").cast("long").alias("majority_consensus_errors"),
+    # Grouping sets straight over the findings: each row is expanded six ways and
+    # partially aggregated in the map task, so one small shuffle yields all groupings.
+    agg = findings.groupingSets(sets, "subset", "split", "transcript_version").agg(
+        F.count(F.lit(1)).cast("long").alias("notes_with_errors"),
+        F.count_if(vd.unanimous("models_with_errors", n_models)).cast("long").alias("all_models_found_errors"),
+        F.count_if(vd.majority(n_flag, n_models)).cast("long").alias("majority_consensus_errors"),
         F.grouping_id().alias("_gid"),
     )
     gname = F.create_map(*[F.lit(x) for kv in _GID.items() for x in kv])
     agg = agg.withColumn("grouping", F.element_at(gname, F.col("_gid").cast("int"))).drop("_gid")
 
-    # Spines: processed subsets x configured splits, zero-filled (JOIN-5), with totals (JOIN-6).
-    processed = totals.select("subset").distinct()
-    spine = processed.select("subset", F.explode(F.array(*[F.lit(s) for s in splits])).alias("split"))
-    cell_totals = spine.join(totals.select("subset", "split", "n_rows"), ["subset", "split"], "left").select(
-        "subset", "split", F.coalesce("n_rows", F.lit(0)).cast("long").alias("total_notes")
+    # Spine: processed subsets x configured splits, zero-filled (JOIN-5), built by one
+    # aggregation per subset (split -> rows) and a generator over the configured splits.
+    per_subset = totals.groupBy("subset").agg(
+        F.map_from_entries(F.collect_list(F.struct("split", "n_rows"))).alias("_m")
     )
+    cell_totals = per_subset.select(
+        "subset", F.explode(F.array(*[F.lit(s) for s in splits])).alias("split"), "_m"
+    ).select("subset", "split", F.coalesce(F.try_element_at("_m", F.col("split")), F.lit(0)).cast("long").alias("total_notes"))
     tot = cell_totals.groupingSets([[], ["subset"], ["split"], ["subset", "split"]], "subset", "split").agg(
         F.sum("total_notes").cast("long").alias("total_notes"), F.grouping_id().alias("_gid")
     )

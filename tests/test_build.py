@@ -212,3 +212,14 @@ def test_extended_rows_keep_challenge_first(spark, scratch):
     first = rows.where("src_rank = 0").select(F.min("row_pos")).first()[0]
     assert first is not None
     assert rows.where("src_rank = 1 AND subset <> 'aci'").count() == 0
+
+
+def test_header_with_bom_and_empty_file(spark, scratch):
+    path = os.path.join(scratch, "bom.csv")
+    with open(path, "w", encoding="utf-8-sig", newline="") as f:
+        f.write("dialogue,note,id\nd,n,1\n")
+    assert cf.header_of(spark, path) == ("dialogue", "note", "id")
+    empty = os.path.join(scratch, "empty.csv")
+    open(empty, "w").close()
+    with pytest.raises(ValueError, match="no header row"):
+        cf.header_of(spark, empty)
