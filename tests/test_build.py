@@ -135,19 +135,19 @@ def brute_force(by_split):
         cells = {}
         for ds, enc, text, note in by_split[split]:
             subset = fold_to_ascii(ds).strip().lower()
-            cells.setdefault(subset, []).append((enc, defaults[subset], fold_to_ascii(text)))
+            cells.setdefault(subset, []).append((enc, defaults[subset], fold_to_ascii(text), 0))
         aci = [r for r in by_split[split] if r[0].strip().lower() == "aci"]
         cells.setdefault("aci", [])
-        cells["aci"] += [(r[1], "asr", fold_to_ascii(r[2])) for r in aci]
-        corr = [(r[1], "asrcorr", fold_to_ascii(r[2])) for r in aci]
+        cells["aci"] += [(r[1], "asr", fold_to_ascii(r[2]), 1) for r in aci]
+        corr = [(r[1], "asrcorr", fold_to_ascii(r[2]), 1) for r in aci]
         cells["aci"] += corr + corr[:1]
         for subset, recs in cells.items():
             seen, kept = set(), []
-            for enc, tv, text in recs:
+            for enc, tv, text, rank in recs:
                 if (text, tv) in seen:
                     continue
                 seen.add((text, tv))
-                kept.append((enc, tv))
+                kept.append((enc, tv, rank))
             out[(subset, split)] = kept
     return out
 
@@ -159,8 +159,8 @@ def test_extended_build_matches_brute_force(spark, scratch):
     res = build_extended(spark, data, out)
     want = brute_force(by_split)
     got = {}
-    for r in res.corpus.select("subset", "split", "encounter_id", "transcript_version").collect():
-        got.setdefault((r.subset, r.split), []).append((r.encounter_id, r.transcript_version))
+    for r in res.corpus.select("subset", "split", "encounter_id", "transcript_version", "src_rank").collect():
+        got.setdefault((r.subset, r.split), []).append((r.encounter_id, r.transcript_version, r.src_rank))
     assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items() if v}
 
     # Dedup report: rows in - rows out per cell.
