@@ -233,10 +233,27 @@ def progress_counts(corpus: DataFrame, progress: DataFrame, key: Sequence[str] =
     )
 
 
-def progress_from_verdicts(verdicts: DataFrame, key: Sequence[str] = DEFAULT_AUDIT.key) -> DataFrame:
-    """SNK-4 re-aimed: the processed set is the distinct keys of the verdict table
-    whose judges all answered (failed calls stay pending and are retried)."""
-    return verdicts.groupBy(*key).agg(F.min(F.col("status") == "ok").alias("_all_ok")).where("_all_ok").drop("_all_ok")
+def progress_from_verdicts(
+    verdicts: DataFrame,
+    key: Sequence[str] = DEFAULT_AUDIT.key,
+    n_judges: int | None = None,
+    max_attempts: int = 2,
+) -> DataFrame:
+    """SNK-4 / SET-4 re-aimed: the processed set is derived from the verdict table.
+
+    A transcript is processed when every judge either answered successfully or
+    used up ``max_attempts`` failed calls (the same rule ``judge_todo`` uses);
+    ``n_judges`` defaults to the number of judges seen for that transcript.
+    Two small aggregations, both combined map-side.
+    """
+    per_pair = verdicts.groupBy(*key, "model").agg(
+        (F.max(F.col("status") == "ok") | (F.count(F.lit(1)) >= max_attempts)).alias("_done")
+    )
+    per_key = per_pair.groupBy(*key).agg(
+        F.count_if("_done").alias("_n_done"), F.count(F.lit(1)).alias("_n_seen")
+    )
+    need = F.lit(n_judges) if n_judges else F.col("_n_seen")
+    return per_key.where(F.col("_n_done") >= need).select(*key)
 
 
 def run_audit(

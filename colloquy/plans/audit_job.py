@@ -100,12 +100,14 @@ def run_audit_job(
     corpus = au.with_transcript_key(corpus, key)
     run_id = int(time.time() * 1000) if run_id is None else run_id
     todo = judge_pending(spark, corpus, judges, store, config, max_attempts)
-    asked = not todo.isEmpty()
-    if asked:
-        wide = au.fan_out(au.build_prompts(todo), judges, skip_col="done_models")
-        batch = au.verdicts_long(wide, key).withColumn("run_id", F.lit(run_id).cast("long"))
-        sk.append_verdicts(batch, store.verdicts)
-    return finish_run(spark, corpus, store, config, splits, asked)
+    # No separate emptiness check (it would compute the anti-join twice): an
+    # empty batch appends nothing, and the run's own rows tell whether it asked.
+    wide = au.fan_out(au.build_prompts(todo), judges, skip_col="done_models")
+    batch = au.verdicts_long(wide, key).withColumn("run_id", F.lit(run_id).cast("long"))
+    sk.append_verdicts(batch, store.verdicts)
+    written = read_verdicts(spark, store)
+    asked = written is not None and not written.where(F.col("run_id") == run_id).select("run_id").isEmpty()
+    return finish_run(spark, corpus, store, config, splits, asked, max_attempts, len(judges))
 
 
 def finish_run(
@@ -115,6 +117,8 @@ def finish_run(
     config: AuditConfig = DEFAULT_AUDIT,
     splits: Sequence[str] = SPLITS,
     asked: bool = False,
+    max_attempts: int = 2,
+    n_judges: int | None = None,
 ) -> AuditResult:
     """INC-2: findings, progress and metrics are pure functions of the stored verdicts
     and the corpus totals; this runs alone when nothing is pending."""
@@ -124,7 +128,8 @@ def finish_run(
         raise RuntimeError(f"no verdicts under {store.verdicts}")
     gathered = au.gather_verdicts(verdicts, key)
     sk.write_findings(au.findings(gathered, key), store.findings)
-    sk.write_progress(au.progress_from_verdicts(verdicts, key), store.progress)
+    n_judges = n_judges or config.n_models
+    sk.write_progress(au.progress_from_verdicts(verdicts, key, n_judges, max_attempts), store.progress)
     findings = spark.read.schema(_finding_schema(key)).option("basePath", store.findings).json(store.findings)
     totals = co.cell_counts(corpus)
     sk.write_metrics(me.metrics(findings, totals, config.n_models, splits), store.metrics, store.metrics_json)

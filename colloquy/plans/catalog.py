@@ -302,7 +302,7 @@ def q_progress_counts(spark, sf):
 
 def q_processed_keys(spark, sf):
     long = au.verdicts_long(_wide(spark, sf), KEY)
-    return au.progress_from_verdicts(long, KEY)
+    return au.progress_from_verdicts(long, KEY, N_MODELS)
 
 
 def q_resolve_ranges(spark, sf):
