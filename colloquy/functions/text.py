@@ -9,9 +9,11 @@ leave the JVM: the UDF receives null for them.
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,6 +54,11 @@ CONTROL_CHARS = r"[\x00-\x08\x0b\x0c\x0e-\x1f]"
 
 # The map as one character class: a C-level scan finds the (rare) mapped
 # characters; str.translate with a dict would visit every character in Python.
+# Ship this module's code inside the task (pickled by value): Python workers then
+# need nothing but the standard library, whether or not the package is installed
+# on the executors.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _MAPPED_RE = re.compile("[" + "".join(re.escape(k) for k in CHAR_MAP) + "]")
 _CONTROL_RE = re.compile(CONTROL_CHARS)
 

@@ -177,5 +177,9 @@ def spread_for_python(df: DataFrame, min_partitions: int | None = None) -> DataF
     cores, so at scale this adds no shuffle. Spark sorts before a round-robin
     repartition, so a retried stage reproduces the same assignment.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. a remote session): leave the plan as is
+        return df
+    return df.repartition(target) if current < target else df
