@@ -9,7 +9,8 @@ Storage layout under ``store_root`` (shared storage on a cluster):
 
 A run asks judges only for (transcript, judge) pairs without a successful
 answer; if nothing is left it recomputes findings and metrics only (INC-2).
-An interrupted run commits nothing; a finished one is visible as one append.
+An interrupted run commits nothing; a finished one is visible as one write of
+its own run_id partitions, and running it again with the same run_id replaces them.
 """
 
 from __future__ import annotations
@@ -71,6 +72,14 @@ def read_verdicts(spark: SparkSession, store: AuditStore) -> DataFrame | None:
     return spark.read.option("basePath", store.verdicts).parquet(store.verdicts)
 
 
+def prior_verdicts(spark: SparkSession, store: AuditStore, run_id: int) -> DataFrame | None:
+    """Verdicts of every other run. A run (or a replayed micro-batch) plans its work
+    without its own earlier output, so a replay redoes exactly the same work and its
+    overwrite of its own partitions is complete."""
+    v = read_verdicts(spark, store)
+    return None if v is None else v.where(F.col("run_id") != F.lit(run_id))
+
+
 def judge_pending(
     spark: SparkSession,
     corpus: DataFrame,
@@ -78,8 +87,9 @@ def judge_pending(
     store: AuditStore,
     config: AuditConfig,
     max_attempts: int = 2,
+    run_id: int = -1,
 ) -> DataFrame:
-    return au.judge_todo(corpus, read_verdicts(spark, store), judges, config.key, max_attempts)
+    return au.judge_todo(corpus, prior_verdicts(spark, store, run_id), judges, config.key, max_attempts)
 
 
 def run_audit_job(
@@ -99,7 +109,7 @@ def run_audit_job(
     key = list(config.key)
     corpus = au.with_transcript_key(corpus, key)
     run_id = int(time.time() * 1000) if run_id is None else run_id
-    todo = judge_pending(spark, corpus, judges, store, config, max_attempts)
+    todo = judge_pending(spark, corpus, judges, store, config, max_attempts, run_id)
     # No separate emptiness check (it would compute the anti-join twice): an
     # empty batch appends nothing, and the run's own rows tell whether it asked.
     wide = au.fan_out(au.build_prompts(todo), judges, skip_col="done_models")

@@ -8,9 +8,19 @@ from colloquy.operators.metrics import metrics_document
 
 
 def append_verdicts(verdicts: DataFrame, path: str) -> None:
-    """The verdict table grows by appends; each append is one job commit, so a
-    failed run leaves no partial batch and the next run simply retries."""
-    verdicts.write.mode("append").partitionBy("subset").parquet(path)
+    """Add one run's verdicts to the verdict table, idempotently.
+
+    Every run (or stream micro-batch) has its own ``run_id`` and lands in its own
+    (subset, run_id) partitions, written with dynamic partition overwrite: a
+    retried run or a replayed micro-batch replaces exactly what it wrote before,
+    an empty batch changes nothing, and other runs are never touched.
+    """
+    (
+        verdicts.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("subset", "run_id")
+        .parquet(path)
+    )
 
 
 def write_findings(findings: DataFrame, path: str) -> None:

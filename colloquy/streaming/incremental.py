@@ -6,7 +6,8 @@ like a resumable batch job; a processing-time trigger keeps it running).
 Each micro-batch anti-joins against the stored verdicts, asks the judges for
 what is missing and appends the answers. The stream's checkpoint records which
 files were consumed; the verdict table makes a replayed batch harmless,
-because ``gather_verdicts`` keeps one answer per (transcript, judge).
+because each epoch writes its own ``run_id`` partitions with dynamic
+overwrite (and ``gather_verdicts`` keeps one answer per transcript and judge).
 
 There is no event time in this data, so there is no watermark: dedup across
 batches is by the anti-join, not by streaming state.
@@ -14,6 +15,7 @@ batches is by the anti-join, not by streaming state.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from colloquy.config import DEFAULT_AUDIT, AuditConfig
 from colloquy.operators import audit as au
-from colloquy.plans.audit_job import AuditStore, read_verdicts
+from colloquy.plans.audit_job import AuditStore, prior_verdicts
 from colloquy.session import scratch_path
 from colloquy.sinks import findings as sk
 
@@ -39,7 +41,7 @@ def audit_batch(
 ) -> None:
     key = list(config.key)
     batch = au.with_transcript_key(batch, key)
-    todo = au.judge_todo(batch, read_verdicts(spark, store), judges, key, max_attempts)
+    todo = au.judge_todo(batch, prior_verdicts(spark, store, epoch_id), judges, key, max_attempts)
     wide = au.fan_out(au.build_prompts(todo), judges, skip_col="done_models")
     out = au.verdicts_long(wide, key).withColumn("run_id", F.lit(epoch_id).cast("long"))
     sk.append_verdicts(out, store.verdicts)
@@ -63,9 +65,12 @@ def start_audit_stream(
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(source_dir)
     ckpt = checkpoint or scratch_path(spark, "audit-stream")
+    # run_id = a base fixed by the checkpoint + the epoch: stable across restarts
+    # (a replayed epoch rewrites its own partition) and distinct between streams.
+    base = zlib.crc32(ckpt.encode("utf-8")) << 31
 
     def each(batch: DataFrame, epoch_id: int) -> None:
-        audit_batch(spark, batch, epoch_id, judges, store, config)
+        audit_batch(spark, batch, base + epoch_id, judges, store, config)
 
     writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", ckpt)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")

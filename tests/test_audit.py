@@ -164,3 +164,21 @@ def test_streaming_equals_batch(spark, scratch):
     cols = KEY + ["model", "status", "response"]
     assert _as_set(streamed, cols) == _as_set(batch, cols)
     assert streamed.select("run_id").distinct().count() >= 2  # more than one micro-batch
+
+
+def test_rerun_with_same_run_id_replaces_its_verdicts(spark, scratch):
+    inputs = _inputs(spark).where("split = 'valid'")
+    store = os.path.join(scratch, "idem")
+    cfg = td.TESTDATA_AUDIT
+    run_audit_job(spark, inputs, td.testdata_judges(), store, cfg, run_id=7)
+    cols = KEY + ["model", "status", "response", "run_id"]
+    first = _as_set(read_verdicts(spark, AuditStore(store)), cols)
+    # The same run again (a restarted driver, a replayed batch): same work, same rows, nothing doubled or lost.
+    run_audit_job(spark, inputs, td.testdata_judges(), store, cfg, run_id=7)
+    again = read_verdicts(spark, AuditStore(store))
+    assert again.count() == len(first) and _as_set(again, cols) == first
+    # A later run only retries what failed and leaves run 7 as it was.
+    run_audit_job(spark, inputs, td.testdata_judges(), store, cfg, run_id=8)
+    v = read_verdicts(spark, AuditStore(store))
+    assert _as_set(v.where("run_id = 7"), cols) == first
+    assert v.where("run_id = 8").count() == v.where("run_id = 7 AND status = 'failed'").count()
