@@ -94,14 +94,13 @@ def _sorted(df: DataFrame, *keys: Column) -> DataFrame:
     return df.coalesce(1).sortWithinPartitions(*keys)
 
 
-def _grid(long_counts: DataFrame, order: ReportOrder) -> DataFrame:
-    """Every (subset level, version level) pair, built by two generators (no join)."""
-    spark = long_counts.sparkSession
-    return (
-        spark.range(1)
-        .select(F.explode(F.array(*[F.lit(s) for s in order.subsets])).alias("subset"))
-        .select("subset", F.explode(F.array(*[F.lit(v) for v in order.versions])).alias("transcript_version"))
-    )
+def _grid(long_counts: DataFrame, order: ReportOrder, index: Sequence[str] = ("subset", "transcript_version")) -> DataFrame:
+    """Every combination of the category levels of ``index``, built by generators (no join, no distinct)."""
+    levels = {"subset": order.subsets, "transcript_version": order.versions}
+    out = long_counts.sparkSession.range(1).select()
+    for col in index:
+        out = out.select("*", F.explode(F.array(*[F.lit(v) for v in levels[col]])).alias(col))
+    return out
 
 
 def overall_with_totals(
@@ -150,7 +149,7 @@ def pivot_by_split(
     index = list(index)
     long = long_counts
     if complete:
-        grid = _grid(long_counts, order).select(*index).distinct()
+        grid = _grid(long_counts, order, index)
         zero = grid.select(*index, F.lit(None).cast("string").alias("split"), F.lit(0).cast("long").alias("count"))
         long = long_counts.select(*index, "split", "count").unionByName(zero)
     split_cols = _pivot_splits(long, index, order)
