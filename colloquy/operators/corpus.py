@@ -121,6 +121,50 @@ def dedup_keep_first(
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
+def dedup_keep_first_counted(
+    df: DataFrame,
+    cell: Sequence[str] = DEFAULT_CELL,
+    key: Sequence[str] = DEFAULT_DEDUP_KEY,
+    order: Sequence[str] = DEFAULT_ORDER,
+) -> DataFrame:
+    """WIN-1 as an aggregation that also counts what it removed (AGG-18 in the same pass).
+
+    ``min_by(row, order)`` keeps the first row of every (cell, key) and
+    ``n_copies`` records how many input rows it stands for. The aggregation
+    combines map-side, so a key with millions of copies leaves each map task as
+    one row, exactly like the window form; the dedup report is then a sum over
+    the output instead of a second pass over the input.
+    """
+    payload = [c for c in df.columns if c not in (*cell, *key)]
+    first = df.groupBy(*cell, F.xxhash64(*[F.col(k) for k in key]).alias("_h"), *key).agg(
+        F.min_by(F.struct(*payload), F.struct(*[F.col(o) for o in order])).alias("_first"),
+        F.count(F.lit(1)).cast("long").alias("n_copies"),
+    )
+    out = first.select(*cell, *key, "_first.*", "n_copies")
+    return out.select(*df.columns, "n_copies")
+
+
+def dedup_report_from_counts(kept: DataFrame, cell: Sequence[str] = DEFAULT_CELL) -> DataFrame:
+    """AGG-18 from ``dedup_keep_first_counted`` output: rows in = sum of copies, rows out = rows."""
+    cell = list(cell)
+    per_cell = kept.groupBy(*cell).agg(
+        F.sum("n_copies").cast("long").alias("rows_in"), F.count(F.lit(1)).cast("long").alias("rows_out")
+    )
+    total = per_cell.groupBy().agg(
+        *[F.lit(None).cast("string").alias(c) for c in cell],
+        F.sum("rows_in").alias("rows_in"),
+        F.sum("rows_out").alias("rows_out"),
+    )
+    both = per_cell.withColumn("level", F.lit("cell")).unionByName(total.withColumn("level", F.lit("total")))
+    return both.select(
+        "level",
+        *cell,
+        F.col("rows_in").cast("long").alias("rows_in"),
+        F.col("rows_out").cast("long").alias("rows_out"),
+        (F.col("rows_in") - F.col("rows_out")).cast("long").alias("duplicates_removed"),
+    )
+
+
 def dedup_report(
     before: DataFrame, after: DataFrame, cell: Sequence[str] = DEFAULT_CELL
 ) -> DataFrame:

@@ -1,11 +1,13 @@
 """Corpus build jobs (J-A basic, J-B extended).
 
 read CSVs -> normalise -> (J-B: + variant files, union) -> route -> keep-first
-dedup per cell -> one partitioned Parquet write -> samples, manifest and the
+dedup per cell (an aggregation that also counts the copies it removed) ->
+number the lines -> one partitioned Parquet write -> samples, manifest and the
 dedup report from the written table (the write cuts the lineage, so nothing
-upstream is recomputed).
+upstream is recomputed, and the input is read once).
 
-Shuffles: one, for the dedup window (J-B); J-A has none before the write.
+Shuffles: one, for the dedup (J-B), carrying each text once; J-A has none
+before the write.
 """
 
 from __future__ import annotations
@@ -22,8 +24,9 @@ from colloquy.sinks.layout import manifest, write_corpus, write_samples
 from colloquy.sources import csv_files as cf
 
 # Provenance kept next to the record columns: which source, file and position a
-# record came from. They give the keep-first order for samples and reports
-# without re-running the build, and the named reader leaves them out by default.
+# record came from (and, in the extended build, how many input rows it stands
+# for). They give the keep-first order for samples and the dedup report without
+# re-running the build; the named reader leaves them out by default.
 PROVENANCE_COLUMNS = ("src_rank", "file_path", "row_pos")
 
 
@@ -90,10 +93,9 @@ def build_extended(
 ) -> BuildResult:
     """J-B: challenge + variant files, keep-first dedup per cell on (dialogue, version)."""
     rows = extended_rows(spark, data_dir, vocab, options)
-    kept = co.dedup_keep_first(rows)
-    columns = list(EXTENDED_RECORD_COLUMNS) + list(PROVENANCE_COLUMNS)
+    kept = co.with_enumerated(co.dedup_keep_first_counted(rows))
+    columns = list(EXTENDED_RECORD_COLUMNS) + list(PROVENANCE_COLUMNS) + ["n_copies"]
     write_corpus(kept, _paths(out_root)["data"], columns)
     written, man = _finish(spark, out_root, EXTENDED_RECORD_COLUMNS, vocab, options)
-    # Rows in per cell come from a pruned re-scan (route columns only); rows out from the written table.
-    report = co.dedup_report(rows.select("subset", "split"), written.select("subset", "split"))
+    report = co.dedup_report_from_counts(written.select("subset", "split", "n_copies"))
     return BuildResult(written, man, report, _paths(out_root)["data"])

@@ -143,8 +143,8 @@ def q_dedup_keep_first(spark, sf):
 
 
 def q_dedup_report(spark, sf):
-    c = td.corpus(spark, sf)
-    return co.dedup_report(c, co.dedup_keep_first(c))
+    """AGG-18 in one pass: the counted keep-first records how many copies each kept row stands for."""
+    return co.dedup_report_from_counts(co.dedup_keep_first_counted(td.corpus(spark, sf)))
 
 
 def q_sample_per_cell(spark, sf):

@@ -119,3 +119,30 @@ def test_hot_key_collapses_before_the_shuffle(spark):
     assert len(rows) == distinct_other + 1
     assert [r.row_pos for r in rows if r.dialogue == ""] == [0]  # the first copy is kept
     assert _shuffle_records(out) == [distinct_other + parts]
+
+
+def test_counted_dedup_equals_window_dedup_and_collapses_map_side(spark):
+    from pyspark.sql import functions as F
+
+    from colloquy.operators.corpus import dedup_keep_first, dedup_keep_first_counted
+
+    n, parts = 30000, 6
+    df = spark.range(n, numPartitions=parts).select(
+        F.lit("aci").alias("subset"),
+        (F.col("id") % 2).cast("string").alias("split"),
+        F.lit("asr").alias("transcript_version"),
+        F.when(F.col("id") % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("d"), (F.col("id") % 9000).cast("string")))
+        .alias("dialogue"),
+        F.lit(0).alias("src_rank"),
+        F.lit("f").alias("file_path"),
+        F.col("id").alias("row_pos"),
+    )
+    counted = dedup_keep_first_counted(df)
+    rows = counted.collect()
+    window = {tuple(r) for r in dedup_keep_first(df).collect()}
+    assert {tuple(r)[:-1] for r in rows} == window
+    assert sum(r.n_copies for r in rows) == n
+    distinct = len(window)
+    # Map-side combine: each map task emits at most one row per distinct key.
+    (written,) = _shuffle_records(counted)
+    assert distinct <= written <= distinct * parts and written < n
