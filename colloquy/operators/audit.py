@@ -112,22 +112,19 @@ def fan_out(prompts: DataFrame, judges: Sequence[Judge], skip_col: str | None =
     return prompts.withColumn("verdicts", verdicts)
 
 
-def judge_todo(
-    corpus: DataFrame,
-    verdicts: DataFrame | None,
+def judge_todo_keys(
+    keys: DataFrame,
+    verdicts: DataFrame,
     judges: Sequence[Judge],
     key: Sequence[str] = DEFAULT_AUDIT.key,
     max_attempts: int = 2,
 ) -> DataFrame:
-    """INC-1 at judge level: corpus rows with at least one judge still to ask, plus
-    ``done_models`` for ``fan_out(skip_col=...)``.
+    """Keys with at least one judge still to ask, plus ``done_models``; keys only, no text.
 
     A judge is done for a transcript once it answered successfully, or after
     ``max_attempts`` failed calls (then its verdict stays 'failed' and counts
     as no errors, as a failed call did in the published audit).
     """
-    if verdicts is None:
-        return corpus.withColumn("done_models", F.array().cast("array<string>"))
     per_pair = verdicts.groupBy(*key, "model").agg(
         F.max(F.col("status") == "ok").alias("_ok"), F.count(F.lit(1)).alias("_attempts")
     )
@@ -137,12 +134,36 @@ def judge_todo(
         .agg(F.collect_set("model").alias("done_models"))
     )
     names = F.array(*[F.lit(j.name) for j in judges])
-    joined = corpus.join(done, list(key), "left").withColumn(
+    joined = keys.join(done, list(key), "left").withColumn(
         "done_models", F.coalesce(F.col("done_models"), F.array().cast("array<string>"))
     )
     return joined.where(~F.forall(names, lambda n: F.array_contains(F.col("done_models"), n)))
 
 
+def judge_todo(
+    corpus: DataFrame,
+    verdicts: DataFrame | None,
+    judges: Sequence[Judge],
+    key: Sequence[str] = DEFAULT_AUDIT.key,
+    max_attempts: int = 2,
+    broadcast_rows: int | None = None,
+) -> DataFrame:
+    """INC-1 at judge level: corpus rows with at least one judge still to ask, plus
+    ``done_models`` for ``fan_out(skip_col=...)``.
+
+    The pending keys are found by a keys-only join; with ``broadcast_rows`` they
+    are counted first and, when there are at most that many, broadcast back onto
+    the corpus (a scan and a hash probe: no transcript text is shuffled); beyond
+    the bound the pending keys meet the corpus in a shuffle join.
+    """
+    if verdicts is None:
+        return corpus.withColumn("done_models", F.array().cast("array<string>"))
+    pending_keys = judge_todo_keys(corpus.select(*key), verdicts, judges, key, max_attempts)
+    if broadcast_rows is not None and pending_keys.count() <= broadcast_rows:
+        pending_keys = F.broadcast(pending_keys)
+    return corpus.join(pending_keys, list(key), "inner")
+
+
 def verdicts_long(wide: DataFrame, key: Sequence[str] = DEFAULT_AUDIT.key, extra: Sequence[str] = ("n_lines",)) -> DataFrame:
     """The stored verdict table: one row per (transcript, judge)."""
     cols = [c for c in extra if c in wide.columns]

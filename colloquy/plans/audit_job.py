@@ -80,6 +80,11 @@ def prior_verdicts(spark: SparkSession, store: AuditStore, run_id: int) -> DataF
     return None if v is None else v.where(F.col("run_id") != F.lit(run_id))
 
 
+# Pending keys up to this many are broadcast back onto the corpus (checked by a
+# count first); a key row is ~100 bytes, so this bounds the broadcast to ~200 MB.
+BROADCAST_PENDING_ROWS = 2_000_000
+
+
 def judge_pending(
     spark: SparkSession,
     corpus: DataFrame,
@@ -88,8 +93,10 @@ def judge_pending(
     config: AuditConfig,
     max_attempts: int = 2,
     run_id: int = -1,
+    broadcast_rows: int = BROADCAST_PENDING_ROWS,
 ) -> DataFrame:
-    return au.judge_todo(corpus, prior_verdicts(spark, store, run_id), judges, config.key, max_attempts)
+    prior = prior_verdicts(spark, store, run_id)
+    return au.judge_todo(corpus, prior, judges, config.key, max_attempts, broadcast_rows)
 
 
 def run_audit_job(

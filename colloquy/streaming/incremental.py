@@ -25,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from colloquy.config import DEFAULT_AUDIT, AuditConfig
 from colloquy.operators import audit as au
-from colloquy.plans.audit_job import AuditStore, prior_verdicts
+from colloquy.plans.audit_job import BROADCAST_PENDING_ROWS, AuditStore, prior_verdicts
 from colloquy.session import scratch_path
 from colloquy.sinks import findings as sk
 
@@ -41,7 +41,8 @@ def audit_batch(
 ) -> None:
     key = list(config.key)
     batch = au.with_transcript_key(batch, key)
-    todo = au.judge_todo(batch, prior_verdicts(spark, store, epoch_id), judges, key, max_attempts)
+    prior = prior_verdicts(spark, store, epoch_id)
+    todo = au.judge_todo(batch, prior, judges, key, max_attempts, BROADCAST_PENDING_ROWS)
     wide = au.fan_out(au.build_prompts(todo), judges, skip_col="done_models")
     out = au.verdicts_long(wide, key).withColumn("run_id", F.lit(epoch_id).cast("long"))
     sk.append_verdicts(out, store.verdicts)

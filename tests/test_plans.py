@@ -146,3 +146,21 @@ def test_counted_dedup_equals_window_dedup_and_collapses_map_side(spark):
     # Map-side combine: each map task emits at most one row per distinct key.
     (written,) = _shuffle_records(counted)
     assert distinct <= written <= distinct * parts and written < n
+
+
+def test_incremental_run_probes_the_corpus_without_shuffling_text(spark):
+    from colloquy.operators import audit as au
+    from colloquy.sources import testdata as td
+
+    key = list(td.TESTDATA_AUDIT.key)
+    corpus = td.labelled_prompt_inputs(spark, SF_SMALL)
+    judges = td.testdata_judges()
+    done = au.verdicts_long(au.fan_out(au.build_prompts(corpus.where("split <> 'valid'")), judges), key)
+    small = au.judge_todo(corpus, done, judges, key, broadcast_rows=10_000)
+    rows = small.collect()
+    assert {r.split for r in rows} >= {"valid"}
+    plan = plan_of(small)
+    # The pending keys (counted, under the bound) are broadcast; the corpus rows with their text are probed in place.
+    assert "BroadcastHashJoin" in plan and "BroadcastExchange" in plan
+    big = au.judge_todo(corpus, done, judges, key, broadcast_rows=0)
+    assert sorted(map(tuple, big.select(*key).collect())) == sorted(map(tuple, small.select(*key).collect()))
