@@ -23,8 +23,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        # Transcripts can be long: keep Arrow batches for the text UDF bounded.
+        # Transcripts can be long: bound the Arrow batches of the text UDF by rows and bytes.
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "2048")
+        .config("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
         .config("spark.driver.memory", os.environ.get("COLLOQUY_DRIVER_MEMORY", "8g"))
     )
     spark = builder.getOrCreate()
