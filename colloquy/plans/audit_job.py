@@ -27,7 +27,7 @@ from colloquy.operators import audit as au
 from colloquy.operators import corpus as co
 from colloquy.operators import metrics as me
 from colloquy.sinks import findings as sk
-from colloquy.sources.csv_files import list_files
+from colloquy.sources.csv_files import has_files
 
 
 @dataclass(frozen=True)
@@ -67,7 +67,7 @@ class AuditResult:
 
 
 def read_verdicts(spark: SparkSession, store: AuditStore) -> DataFrame | None:
-    if not [p for p in list_files(spark, store.verdicts) if p.endswith(".parquet")]:
+    if not has_files(spark, store.verdicts, ".parquet"):
         return None
     return spark.read.option("basePath", store.verdicts).parquet(store.verdicts)
 

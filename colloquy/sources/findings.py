@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colloquy.schemas import FINDING, PROGRESS, PROGRESS_JSON
-from colloquy.sources.csv_files import list_files
+from colloquy.sources.csv_files import has_files
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    return bool(list_files(spark, path))
+    return has_files(spark, path)
 
 
 def read_findings_json(spark: SparkSession, path: str) -> DataFrame:
