@@ -26,6 +26,7 @@ from colloquy.config import DEFAULT_AUDIT, SPLITS, AuditConfig
 from colloquy.operators import audit as au
 from colloquy.operators import corpus as co
 from colloquy.operators import metrics as me
+from colloquy.operators.resolve import flagged_ranges, resolve_ranges
 from colloquy.sinks import findings as sk
 from colloquy.sources.csv_files import has_files
 
@@ -153,6 +154,25 @@ def finish_run(
     return AuditResult(asked, verdicts, findings, spark.read.parquet(store.metrics))
 
 
+def read_findings(spark: SparkSession, store_root: str, config: AuditConfig = DEFAULT_AUDIT) -> DataFrame:
+    store = AuditStore(store_root)
+    return spark.read.schema(_finding_schema(config.key)).option("basePath", store.findings).json(store.findings)
+
+
+def resolve_findings(
+    spark: SparkSession,
+    corpus: DataFrame,
+    store_root: str,
+    config: AuditConfig = DEFAULT_AUDIT,
+    broadcast_rows: int = BROADCAST_PENDING_ROWS,
+) -> DataFrame:
+    """JOIN-7 as a job step: every line inside a flagged range of the stored findings,
+    with the judge that flagged it (the manual lookup of the published notes, as a join)."""
+    key = list(config.key)
+    ranges = flagged_ranges(read_findings(spark, store_root, config), key)
+    return resolve_ranges(ranges, au.with_transcript_key(corpus, key), key, broadcast_rows)
+
+
 def _finding_schema(key: Sequence[str]):
     from pyspark.sql import types as T
 
