@@ -193,15 +193,32 @@ def dedup_report(
 
 
 def sample_per_cell(
-    df: DataFrame, n: int = 5, cell: Sequence[str] = DEFAULT_CELL, order: Sequence[str] = DEFAULT_ORDER
+    df: DataFrame,
+    n: int = 5,
+    cell: Sequence[str] = DEFAULT_CELL,
+    order: Sequence[str] = DEFAULT_ORDER,
+    buckets: int = 1024,
 ) -> DataFrame:
     """WIN-3 / LIM-1: the first ``n`` rows of every cell in source order.
 
-    ``row_number() <= n`` gets a partial WindowGroupLimit before the shuffle,
-    so at most ``n`` rows per cell leave each map task.
+    Two levels, both planned with a partial WindowGroupLimit before their
+    shuffle: first the top ``n`` per (cell, bucket), the bucket a hash of the
+    order key (deterministic under retries), so the first shuffle spreads over
+    cells x buckets reducers instead of one per cell; then the top ``n`` per
+    cell over at most ``n * buckets`` rows. Exact: a cell's first ``n`` rows are
+    among the first ``n`` of their buckets.
     """
-    w = Window.partitionBy(*cell).orderBy(*[F.col(o).asc_nulls_first() for o in order])
-    return df.withColumn("sample_rank", F.row_number().over(w)).where(F.col("sample_rank") <= n)
+    keys = [F.col(o).asc_nulls_first() for o in order]
+    bucket = F.pmod(F.xxhash64(*[F.col(o) for o in order]), F.lit(buckets))
+    w1 = Window.partitionBy(*cell, "_bucket").orderBy(*keys)
+    first = (
+        df.withColumn("_bucket", bucket)
+        .withColumn("_r", F.row_number().over(w1))
+        .where(F.col("_r") <= n)
+        .drop("_r", "_bucket")
+    )
+    w2 = Window.partitionBy(*cell).orderBy(*keys)
+    return first.withColumn("sample_rank", F.row_number().over(w2)).where(F.col("sample_rank") <= n)
 
 
 def cell_counts(df: DataFrame, cell: Sequence[str] = DEFAULT_CELL) -> DataFrame:

@@ -30,11 +30,16 @@ def write_corpus(df: DataFrame, root: str, columns: Sequence[str], mode: str = "
 def write_samples(
     df: DataFrame, root: str, columns: Sequence[str], n: int = 5, order: Sequence[str] = DEFAULT_ORDER
 ) -> None:
-    """SNK-2: the first ``n`` records of every cell as JSON lines."""
+    """SNK-2: the first ``n`` records of every cell as JSON lines.
+
+    The sample is at most ``n`` rows per cell, so it is gathered into one
+    partition only after the limit (a shuffle of those few rows); the top-n
+    stages before it stay spread over the cluster.
+    """
     sample = sample_per_cell(df, n=n, order=order)
     (
         sample.select(*columns, "subset", "split", "sample_rank")
-        .coalesce(1)
+        .repartition(1)
         .write.mode("overwrite")
         .partitionBy("subset", "split")
         .json(root)

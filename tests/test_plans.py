@@ -164,3 +164,24 @@ def test_incremental_run_probes_the_corpus_without_shuffling_text(spark):
     assert "BroadcastHashJoin" in plan and "BroadcastExchange" in plan
     big = au.judge_todo(corpus, done, judges, key, broadcast_rows=0)
     assert sorted(map(tuple, big.select(*key).collect())) == sorted(map(tuple, small.select(*key).collect()))
+
+
+def test_sample_is_exact_and_bounded_for_a_hot_cell(spark):
+    from pyspark.sql import functions as F
+
+    from colloquy.operators.corpus import sample_per_cell
+
+    n_rows, parts, buckets = 20000, 8, 64
+    df = spark.range(n_rows, numPartitions=parts).select(
+        F.lit("aci").alias("subset"),
+        F.lit("train").alias("split"),
+        F.lit(0).alias("src_rank"),
+        F.lit("f").alias("file_path"),
+        (n_rows - F.col("id")).alias("row_pos"),
+    )
+    s = sample_per_cell(df, n=5, buckets=buckets)
+    rows = s.collect()
+    assert sorted(r.row_pos for r in rows) == [1, 2, 3, 4, 5]
+    assert [r.sample_rank for r in sorted(rows, key=lambda r: r.row_pos)] == [1, 2, 3, 4, 5]
+    first, second = sorted(_shuffle_records(s), reverse=True)
+    assert first <= 5 * buckets * parts and second <= 5 * buckets
