@@ -210,7 +210,9 @@ def sample_per_cell(
     """
     keys = [F.col(o).asc_nulls_first() for o in order]
     bucket = F.pmod(F.xxhash64(*[F.col(o) for o in order]), F.lit(buckets))
-    w1 = Window.partitionBy(*cell, "_bucket").orderBy(*keys)
+    # One struct key, so a partitioning on the cell alone cannot satisfy this level:
+    # Spark must spread it over (cell, bucket) instead of reusing one per-cell shuffle.
+    w1 = Window.partitionBy(F.struct(*[F.col(c) for c in cell], F.col("_bucket"))).orderBy(*keys)
     first = (
         df.withColumn("_bucket", bucket)
         .withColumn("_r", F.row_number().over(w1))
