@@ -21,11 +21,6 @@ __all__ = ["CHAR_MAP", "CONTROL_CHARS", "fold_to_ascii", "fold_value"]
 _fold_udf = F.pandas_udf(fold_series, T.StringType())
 
 
-def is_ascii(c: Column) -> Column:
-    # UTF-8 byte length equals character length exactly when every char is ASCII.
-    return F.octet_length(c) == F.char_length(c)
-
-
 def normalize_text(c: Column | str, ascii_normalize: bool = True) -> Column:
     """FN-1: null -> ''; optionally NFKC, char map, NFKD, drop non-ASCII, drop controls."""
     c = F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit("")).cast("string")

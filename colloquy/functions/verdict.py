@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from colloquy.config import NO_ERROR_RANGE
 from colloquy.schemas import ERROR_LIST, JUDGE_RESPONSE
 
 
@@ -31,8 +32,8 @@ def is_actual_error(item: Column) -> Column:
     lines = F.coalesce(item.getField("lines"), F.array().cast("array<int>"))
     no_error = (
         (F.size(lines) == 2)
-        & F.coalesce(F.get(lines, 0) == -1, F.lit(False))
-        & F.coalesce(F.get(lines, 1) == -1, F.lit(False))
+        & F.coalesce(F.get(lines, 0) == NO_ERROR_RANGE[0], F.lit(False))
+        & F.coalesce(F.get(lines, 1) == NO_ERROR_RANGE[1], F.lit(False))
     )
     return ~no_error
 

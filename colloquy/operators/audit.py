@@ -22,16 +22,6 @@ from colloquy.functions import prompt as pr
 from colloquy.functions import text as tx
 from colloquy.functions import verdict as vd
 
-VERDICT_STRUCT = T.StructType(
-    [
-        T.StructField("judge_rank", T.IntegerType()),
-        T.StructField("model", T.StringType()),
-        T.StructField("status", T.StringType()),
-        T.StructField("response", T.StringType()),
-    ]
-)
-
-
 @dataclass(frozen=True)
 class ColumnJudge:
     """A judge written as a Column expression over the prompt rows; null means the call failed."""

@@ -49,16 +49,6 @@ METRIC_COLUMNS = (
 )
 
 
-def finding_cells(findings: DataFrame, n_models: int) -> DataFrame:
-    """Per (subset, split, version): flagged, unanimous and majority counts (AGG-15)."""
-    n_flag = F.size("models_with_errors")
-    return findings.groupBy("subset", "split", "transcript_version").agg(
-        F.count(F.lit(1)).cast("long").alias("notes_with_errors"),
-        F.count_if(vd.unanimous("models_with_errors", n_models)).cast("long").alias("all_models_found_errors"),
-        F.count_if(vd.majority(n_flag, n_models)).cast("long").alias("majority_consensus_errors"),
-    )
-
-
 def metrics(
     findings: DataFrame,
     totals: DataFrame,

@@ -182,3 +182,17 @@ def test_rerun_with_same_run_id_replaces_its_verdicts(spark, scratch):
     v = read_verdicts(spark, AuditStore(store))
     assert _as_set(v.where("run_id = 7"), cols) == first
     assert v.where("run_id = 8").count() == v.where("run_id = 7 AND status = 'failed'").count()
+
+
+def test_single_pass_audit_matches_job_findings(spark):
+    from colloquy.operators.audit import run_audit
+
+    inputs = _inputs(spark)
+    verdicts, findings = run_audit(inputs, td.testdata_judges(), td.TESTDATA_AUDIT)
+    assert verdicts.count() == 3 * inputs.count()
+    wide = au.fan_out(au.build_prompts(inputs), td.testdata_judges())
+    regrouped = au.findings(au.gather_verdicts(au.verdicts_long(wide, KEY), KEY), KEY)
+    cols = KEY + ["models_with_errors"]
+    a = findings.select(*KEY, F.array_join("models_with_errors", ",").alias("models_with_errors"))
+    b = regrouped.select(*KEY, F.array_join("models_with_errors", ",").alias("models_with_errors"))
+    assert _as_set(a, cols) == _as_set(b, cols)

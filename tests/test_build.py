@@ -232,3 +232,15 @@ def test_header_with_bom_and_empty_file(spark, scratch):
     open(empty, "w").close()
     with pytest.raises(ValueError, match="no header row"):
         cf.header_of(spark, empty)
+
+
+def test_available_cells_lists_published_partitions(spark, scratch):
+    from colloquy.sinks.layout import write_corpus
+    from colloquy.sources import testdata as td
+    from colloquy.sources.tables import available_cells
+
+    root = os.path.join(scratch, "pub")
+    write_corpus(td.corpus(spark, "/root/testdata/sf0.001"), root, ["encounter_id", "dialogue"])
+    got = {tuple(r) for r in available_cells(spark, root).collect()}
+    want = {tuple(r) for r in td.corpus(spark, "/root/testdata/sf0.001").select("subset", "split").distinct().collect()}
+    assert got == want

@@ -199,3 +199,20 @@ def test_dialogue_chunks_do_not_change_the_text(spark):
     small = {r.conv_id: r.dialogue for r in td.dialogues(spark, "/root/testdata/sf0.001", chunk_turns=2).collect()}
     whole = {r.conv_id: r.dialogue for r in td.dialogues(spark, "/root/testdata/sf0.001").collect()}
     assert small == whole and len(whole) > 0
+
+
+def test_map_level_verdict_functions(spark):
+    schema = "m map<string, array<struct<lines:array<int>,reason:string>>>"
+    m = {
+        "a": [{"lines": [-1, -1], "reason": "ok"}],
+        "b": [],
+        "c": [{"lines": [3, 4], "reason": "swap"}],
+        "d": [{"lines": [-1, -1], "reason": "ok"}, {"lines": [1, -1], "reason": "all"}],
+    }
+    row = spark.createDataFrame([(m,)], schema).select(
+        F.map_keys(vd.drop_empty_judges("m")).alias("kept"),
+        vd.count_models_with_actual("m").alias("n"),
+        vd.models_with_actual("m").alias("models"),
+        vd.any_actual("m").alias("any"),
+    ).first()
+    assert sorted(row.kept) == ["a", "c", "d"] and row.n == 2 and sorted(row.models) == ["c", "d"] and row.any
