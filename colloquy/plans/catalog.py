@@ -142,6 +142,12 @@ def q_dedup_keep_first(spark, sf):
     return kept.select("encounter_id", "subset", "split", "transcript_version")
 
 
+def q_dedup_counted(spark, sf):
+    """WIN-1 + AGG-18 as the build runs them: the kept row of every copy group and how many rows it stands for."""
+    kept = co.dedup_keep_first_counted(td.corpus(spark, sf))
+    return kept.select("encounter_id", "subset", "split", "transcript_version", "n_copies")
+
+
 def q_dedup_report(spark, sf):
     """AGG-18 in one pass: the counted keep-first records how many copies each kept row stands for."""
     return co.dedup_report_from_counts(co.dedup_keep_first_counted(td.corpus(spark, sf)))
@@ -350,6 +356,7 @@ QUERIES: dict[str, Query] = {
     "build_dialogues": q_build_dialogues,
     "line_table": q_line_table,
     "dedup_keep_first": q_dedup_keep_first,
+    "dedup_counted": q_dedup_counted,
     "dedup_report": q_dedup_report,
     "sample_per_cell": q_sample_per_cell,
     "union_sources": q_union_sources,
@@ -516,6 +523,11 @@ SELECT conv_id, line_no,
 FROM l""",
     "dedup_keep_first": f"""WITH {CORPUS}
 SELECT encounter_id, subset, split, transcript_version FROM corpus
+QUALIFY row_number() OVER (PARTITION BY subset, split, transcript_version, dialogue ORDER BY doc_id) = 1""",
+    "dedup_counted": f"""WITH {CORPUS}
+SELECT encounter_id, subset, split, transcript_version,
+       count(*) OVER (PARTITION BY subset, split, transcript_version, dialogue) AS n_copies
+FROM corpus
 QUALIFY row_number() OVER (PARTITION BY subset, split, transcript_version, dialogue ORDER BY doc_id) = 1""",
     "dedup_report": f"""WITH {CORPUS},
 kept AS (SELECT subset, split FROM corpus
