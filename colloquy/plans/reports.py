@@ -27,6 +27,12 @@ class CountReport:
     by_subset: DataFrame
     by_version: DataFrame
     order: ct.ReportOrder
+    cached: DataFrame | None = None
+
+    def unpersist(self) -> None:
+        """Release the cached long counts once the reports have been written or shown."""
+        if self.cached is not None:
+            self.cached.unpersist()
 
 
 def count_report(
@@ -50,6 +56,7 @@ def count_report(
         by_subset=ct.pivot_by_split(long, ["subset"], order, complete),
         by_version=ct.pivot_by_split(long, ["transcript_version"], order, complete),
         order=order,
+        cached=long,
     )
 
 

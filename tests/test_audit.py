@@ -196,3 +196,29 @@ def test_single_pass_audit_matches_job_findings(spark):
     a = findings.select(*KEY, F.array_join("models_with_errors", ",").alias("models_with_errors"))
     b = regrouped.select(*KEY, F.array_join("models_with_errors", ",").alias("models_with_errors"))
     assert _as_set(a, cols) == _as_set(b, cols)
+
+
+def test_stream_restart_processes_only_new_files(spark, scratch):
+    inputs = _inputs(spark)
+    src = os.path.join(scratch, "incoming2")
+    store = os.path.join(scratch, "stream-restart")
+    ckpt = os.path.join(scratch, "ckpt2")
+    inputs.where("split = 'train'").write.parquet(os.path.join(src, "b1"))
+    q = start_audit_stream(spark, src + "/*", inputs.schema, td.testdata_judges(), store, td.TESTDATA_AUDIT,
+                           checkpoint=ckpt)
+    q.awaitTermination(300)
+    first = read_verdicts(spark, AuditStore(store))
+    first_runs = {r.run_id for r in first.select("run_id").distinct().collect()}
+    assert {r.split for r in first.select("split").distinct().collect()} == {"train"}
+
+    # New files arrive; the restarted stream (same checkpoint) reads only those.
+    inputs.where("split <> 'train'").write.parquet(os.path.join(src, "b2"))
+    q = start_audit_stream(spark, src + "/*", inputs.schema, td.testdata_judges(), store, td.TESTDATA_AUDIT,
+                           checkpoint=ckpt)
+    q.awaitTermination(300)
+    v = read_verdicts(spark, AuditStore(store))
+    new = v.where(~F.col("run_id").isin(list(first_runs)))
+    assert new.where("split = 'train'").count() == 0 and new.count() > 0
+    batch = au.verdicts_long(au.fan_out(au.build_prompts(inputs), td.testdata_judges()), KEY)
+    cols = KEY + ["model", "status", "response"]
+    assert v.count() == batch.count() and _as_set(v, cols) == _as_set(batch, cols)

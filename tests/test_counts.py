@@ -87,3 +87,10 @@ def test_empty_selection_raises(spark):
     corpus = published_long(spark).select("subset", "split", "transcript_version")
     with pytest.raises(RuntimeError, match="No rows counted"):
         count_report(corpus, splits=["nope"])
+
+
+def test_report_releases_its_cache(spark):
+    rep = count_report(published_long(spark).select("subset", "split", "transcript_version"))
+    assert rep.cached.is_cached
+    rep.unpersist()
+    assert not rep.cached.is_cached
