@@ -62,3 +62,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-path of the shared checkpoint folder for written intermediate tables."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/{name}"
+
+
+def recommended_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized to the input, for a cluster session (pass them to the builder or spark-submit).
+
+    Shuffle partitions are sized so one partition holds about ``target_partition_bytes``
+    (a dedup or findings join moves roughly the text once), never fewer than 3 waves
+    of the cluster's cores; AQE then coalesces small partitions and splits skewed
+    ones at runtime. Scan splits are kept at the same size, so a task reads and
+    shuffles a bounded amount and spills instead of failing.
+    """
+    partitions = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
+        "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
+    }

@@ -216,3 +216,12 @@ def test_map_level_verdict_functions(spark):
         vd.any_actual("m").alias("any"),
     ).first()
     assert sorted(row.kept) == ["a", "c", "d"] and row.n == 2 and sorted(row.models) == ["c", "d"] and row.any
+
+
+def test_recommended_conf_sizes_partitions():
+    from colloquy.session import recommended_conf
+
+    big = recommended_conf(100 * 10**12, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == -(-100 * 10**12 // (256 << 20))
+    small = recommended_conf(10 << 20, 64)
+    assert int(small["spark.sql.shuffle.partitions"]) == 3 * 64
