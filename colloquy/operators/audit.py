@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from colloquy.config import DEFAULT_AUDIT, TRANSCRIPT_KEY, AuditConfig
+from colloquy.functions.calls import concurrent_answer
 from colloquy.functions import prompt as pr
 from colloquy.functions import text as tx
 from colloquy.functions import verdict as vd
@@ -58,6 +59,13 @@ class BatchJudge:
 Judge = ColumnJudge | BatchJudge
 
 
+def concurrent_judge(name: str, call: Callable[[str], str | None], max_workers: int = 8) -> BatchJudge:
+    """UDF-1 + UDF-2 for a remote model: ``call(prompt) -> response text`` is run for
+    every prompt of an Arrow batch on ``max_workers`` threads; an exception is that
+    call's failure only (status 'failed', retried later), never the task's."""
+    return BatchJudge(name, concurrent_answer(call, max_workers))
+
+
 def with_transcript_key(corpus: DataFrame, key: Sequence[str] = DEFAULT_AUDIT.key) -> DataFrame:
     """Add the dialogue digest when the audit key asks for it and the corpus lacks it."""
     if TRANSCRIPT_KEY in key and TRANSCRIPT_KEY not in corpus.columns:

@@ -222,3 +222,30 @@ def test_stream_restart_processes_only_new_files(spark, scratch):
     batch = au.verdicts_long(au.fan_out(au.build_prompts(inputs), td.testdata_judges()), KEY)
     cols = KEY + ["model", "status", "response"]
     assert v.count() == batch.count() and _as_set(v, cols) == _as_set(batch, cols)
+
+
+def _remote_like():
+    """Stands in for a model request: raises on some prompts, answers the rest. (A closure,
+    so Spark ships it by value to the Python workers, as user code must be shipped.)"""
+
+    def call(prompt):
+        if len(prompt) % 5 == 0:
+            raise TimeoutError("request timed out")
+        lines = "[1,1]" if len(prompt) % 2 else "[-1,-1]"
+        return '{"errors":[{"lines":%s,"reason":"r"}]}' % lines
+
+    return call
+
+
+def test_concurrent_judge_isolates_failed_calls(spark):
+    call = _remote_like()
+    judge = au.concurrent_judge("judge/remote", call, max_workers=4)
+    inputs = _inputs(spark)
+    long = au.verdicts_long(au.fan_out(au.build_prompts(inputs), [judge]), KEY)
+    rows = long.join(au.build_prompts(inputs).select(*KEY, "prompt"), KEY).collect()
+    assert rows
+    for r in rows:
+        if len(r.prompt) % 5 == 0:
+            assert r.status == "failed" and r.response is None
+        else:
+            assert r.status == "ok" and r.response == call(r.prompt)
