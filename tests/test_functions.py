@@ -225,3 +225,11 @@ def test_recommended_conf_sizes_partitions():
     assert int(big["spark.sql.shuffle.partitions"]) == -(-100 * 10**12 // (256 << 20))
     small = recommended_conf(10 << 20, 64)
     assert int(small["spark.sql.shuffle.partitions"]) == 3 * 64
+
+
+def test_checkpoint_dir_comes_from_the_session(spark):
+    from colloquy.session import ensure_checkpoint_dir, scratch_path
+
+    configured = spark.conf.get("spark.checkpoint.dir")
+    assert configured and ensure_checkpoint_dir(spark) == configured
+    assert scratch_path(spark, "x") == configured.rstrip("/") + "/x"
