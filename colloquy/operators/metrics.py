@@ -131,7 +131,11 @@ def metrics(
         .alias("all_models_found_errors"),
         F.coalesce(F.col("a_majority_consensus_errors"), F.lit(0)).cast("long").alias("majority_consensus_errors"),
     )
-    return out.select(*METRIC_COLUMNS)
+    # Vocabulary-sized: ordered inside one partition (groupings in published order, splits canonical).
+    g_rank = F.array_position(F.array(*[F.lit(g) for g in GROUPINGS]), F.col("grouping"))
+    s_rank = F.array_position(F.array(*[F.lit(x) for x in splits]), F.col("split"))
+    ordered = out.coalesce(1).sortWithinPartitions(g_rank, "subset", s_rank, "transcript_version")
+    return ordered.select(*METRIC_COLUMNS)
 
 
 def metrics_document(metrics_long: DataFrame) -> DataFrame:
