@@ -1,0 +1 @@
+"""DataFrame -> DataFrame operators: corpus, counts, audit, metrics, resolve."""

@@ -1,0 +1 @@
+"""Sinks: partitioned corpus, samples, manifest, counts CSV, verdicts, findings, progress, metrics."""

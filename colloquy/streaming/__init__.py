@@ -1,0 +1 @@
+"""Structured Streaming form of the incremental audit."""
