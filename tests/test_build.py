@@ -244,3 +244,12 @@ def test_available_cells_lists_published_partitions(spark, scratch):
     got = {tuple(r) for r in available_cells(spark, root).collect()}
     want = {tuple(r) for r in td.corpus(spark, "/root/testdata/sf0.001").select("subset", "split").distinct().collect()}
     assert got == want
+
+
+def test_basic_build_reads_a_file_with_a_byte_order_mark(spark, scratch):
+    data = challenge_dir(os.path.join(scratch, "bom"), {})
+    with open(os.path.join(data, "train.csv"), "w", encoding="utf-8-sig", newline="") as f:
+        f.write("dataset,encounter_id,dialogue,note\naci,E1,[doctor] hi,n\n")
+    res = build_basic(spark, data, os.path.join(scratch, "out"))
+    rows = res.corpus.select("subset", "split", "encounter_id", "dialogue").collect()
+    assert [tuple(r) for r in rows] == [("aci", "train", "E1", "[doctor] hi")]
