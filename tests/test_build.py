@@ -253,3 +253,10 @@ def test_basic_build_reads_a_file_with_a_byte_order_mark(spark, scratch):
     res = build_basic(spark, data, os.path.join(scratch, "out"))
     rows = res.corpus.select("subset", "split", "encounter_id", "dialogue").collect()
     assert [tuple(r) for r in rows] == [("aci", "train", "E1", "[doctor] hi")]
+
+
+def test_build_without_ascii_normalisation_keeps_the_text(spark, scratch):
+    data = challenge_dir(os.path.join(scratch, "raw"), {"valid": [["VirtAssist", "E9", "café — ok", "nöte"]]})
+    res = build_basic(spark, data, os.path.join(scratch, "out"), options=BuildOptions(ascii_normalize=False, on_unknown_subset="drop"))
+    row = res.corpus.select("subset", "dialogue", "note").first()
+    assert (row.subset, row.dialogue, row.note) == ("virtassist", "café — ok", "nöte")
