@@ -3,16 +3,39 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from colloquy.llm import neardup
+from colloquy.llm import mixing, neardup, quality, substring
 from colloquy.llm.common import read
 
 
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to the source targets; labelled quality weighs the draw."""
+    return mixing.mix_sources(read(spark, sf_dir, "documents"), mixing.label_weights(read(spark, sf_dir, "labels")))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by the classifier trained on the labelled rows that are not held out."""
+    scored = quality.score(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels"))
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of 13-word windows that start in an earlier document."""
+    out = substring.remove_repeats(read(spark, sf_dir, "documents"), 13)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 3-word shingle sets have a Jaccard similarity of 0.85 or more."""
     return neardup.near_duplicates(read(spark, sf_dir, "documents"), neardup.NearDup(shingle_words=3, percent=85))
 
 
-QUERIES = {"op10_near_duplicates": op10_near_duplicates}
+QUERIES = {
+    "op2_mix_sources": op2_mix_sources,
+    "op4_quality": op4_quality,
+    "op8_substring_dedup": op8_substring_dedup,
+    "op10_near_duplicates": op10_near_duplicates,
+}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {"op2_mix_sources": mixing.SQL}
