@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from colloquy.session import scratch_path
 
@@ -34,6 +35,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+LOOKUP_ROWS = 1_000_000  # ids of one long each (16 MB in memory) that a lookup broadcasts; beyond, it is a shuffle join
+
+
+def rows_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is in ``ids``; few ids are broadcast, so that the texts need no shuffle."""
+    ids = stored(ids.select("doc_id").distinct(), "ids")
+    return docs.join(F.broadcast(ids) if ids.count() <= LOOKUP_ROWS else ids, "doc_id", "left_semi")
+
+
 def word_hashes(words: list[bytes]) -> np.ndarray:
     """64-bit hash of every word."""
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))

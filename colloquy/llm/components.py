@@ -61,11 +61,11 @@ def spanning(pairs: list[tuple[int, int]], labels: list[int]) -> list[tuple[int,
     return out
 
 
-def link_buckets(members: DataFrame, verify: Callable, payload: DataFrame, compare: Callable) -> DataFrame:
+def link_buckets(members: DataFrame, verify: Callable, payload: Callable, compare: Callable) -> DataFrame:
     """(id, component) of the items linked through shared buckets; an item without a link has no row.
 
-    ``members`` (key, id) names every item's bucket keys. ``verify`` takes pairs (a, b)
-    and returns those that are links; ``compare(key, left, right, same)`` gets two blocks
+    ``members`` (key, id, no row twice) names every item's bucket keys. ``verify`` takes pairs (a, b)
+    and returns those that are links; ``payload`` gives (id, more columns) for a table of ids; ``compare(key, left, right, same)`` gets two blocks
     of one bucket as pandas frames (id, component, payload columns; ``same`` if they are one
     block) and returns the linked positions. Two members of a bucket are compared unless
     they are known to be in one component, so no component is split:
@@ -76,10 +76,10 @@ def link_buckets(members: DataFrame, verify: Callable, payload: DataFrame, compa
        to ``SMALL_BUCKET``, else in blocks that a task holds whole. Blocks return at most
        one link per member, never all pairs.
     """
-    members = members.distinct()
-    sizes = members.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("leader"))
-    members = stored(members.join(sizes.where("n > 1"), "key"), "members")
-    first = members.where("id <> leader").groupBy(F.col("id").alias("a")).agg(F.min("leader").alias("b"))
+    shared = members.groupBy("key").count().where("count > 1").select("key")
+    members = stored(members.join(shared, "key", "left_semi"), "members")
+    leaders = members.groupBy("key").agg(F.min("id").alias("leader"))
+    first = members.join(leaders, "key").where("id <> leader").groupBy(F.col("id").alias("a")).agg(F.min("leader").alias("b"))
     links = stored(verify(first), "links")
     comp = stored(components(links), "components")
 
@@ -96,7 +96,8 @@ def link_buckets(members: DataFrame, verify: Callable, payload: DataFrame, compa
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     many = many.select("key", "id", "component", blocks.alias("blocks")).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     many = many.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    many = many.select("key", "id", "component", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).join(payload, "id")
+    many = many.select("key", "id", "component", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    many = many.join(payload(open_.where(F.col("n") > SMALL_BUCKET).select("id").distinct()), "id")
 
     def run(group: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         key, i, j = group

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colloquy.llm.common import mix, record_batches, signed, stored, window_hashes, word_hashes
+from colloquy.llm.common import mix, record_batches, rows_of, signed, stored, window_hashes, word_hashes
 from colloquy.llm.components import link_buckets
 
 _UPPER = bytes(range(65, 91))
@@ -238,12 +238,15 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
         side = lambda s: regs.select(F.col("rep").alias(s), F.col("registers").alias(f"r{s}"), F.col("n").alias(f"n{s}"))
         hopeful = stored(_plausible(pairs.join(side("a"), "a").join(side("b"), "b"), p), "plausible")
         needed = hopeful.select(F.col("a").alias("doc_id")).union(hopeful.select("b")).distinct()
-        texts = stored(text.join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+        texts = stored(rows_of(text, needed).dropDuplicates(["doc_id"]), "texts")
         ta = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
         tb = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
         return _confirmed(hopeful.join(ta, "a").join(tb, "b"), p)
 
-    payload = known.select(F.col("rep").alias("id"), "bands", "n").join(text.dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "id"), "id")
+    def payload(wanted: DataFrame) -> DataFrame:
+        texts = rows_of(text, wanted.select(F.col("id").alias("doc_id"))).dropDuplicates(["doc_id"])
+        return known.select(F.col("rep").alias("id"), "bands", "n").join(texts.withColumnRenamed("doc_id", "id"), "id")
+
     comp = link_buckets(members, verify, payload, compare_blocks(p))
     out = sig.select("doc_id", "n_shingles", "set_hash").join(classes, "set_hash", "left")
     out = out.join(comp.withColumnRenamed("id", "rep"), "rep", "left")
