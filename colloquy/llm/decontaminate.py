@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from colloquy.llm.common import stored
 
 BROADCAST_ROWS = 2_000_000  # distinct item shingles, one long each: 16 MB; beyond, the lookup is a shuffle join
-_HASH_ROWS = "hash long"
 
 
 @dataclass(frozen=True)
@@ -51,8 +50,8 @@ def shingle_hashes(word_hashes: Column, n: Column, k: int) -> Column:
 
 def simhash(word_hashes: Column, n: Column) -> Column:
     """64 bits: bit b is set if more than half of the words have it set."""
-    one = lambda b: F.aggregate(word_hashes, F.lit(0), lambda s, h: s + F.shiftright(h, b).bitwiseAND(F.lit(1).cast("long")).cast("int"))
-    bits = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda b: F.when(2 * one(b) > n, F.shiftleft(F.lit(1).cast("long"), b)).otherwise(F.lit(0).cast("long")))
+    one = lambda b: F.aggregate(word_hashes, F.lit(0), lambda s, h: s + F.getbit(h, b).cast("int"))
+    bits = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda b: F.when(2 * one(b) > n, F.call_function("shiftleft", F.lit(1).cast("long"), b)).otherwise(F.lit(0).cast("long")))
     return F.aggregate(bits, F.lit(0).cast("long"), lambda s, b: s.bitwiseOR(b))
 
 
