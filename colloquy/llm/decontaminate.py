@@ -91,7 +91,8 @@ def contaminated(docs: DataFrame, items: DataFrame, p: Decontamination = Deconta
     d = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     h = F.transform(words(F.col("text")), lambda w: F.xxhash64(w))
     places = d.select("doc_id", h.alias("h")).select("doc_id", F.size("h").alias("len"), shingle_hashes(F.col("h"), F.size("h"), k).alias("s"))
-    places = places.select("doc_id", "len", F.posexplode("s").alias("pos", "hash")).join(vocabulary, "hash", "left_semi")
+    # outer: an inner explode would have the optimiser test the array's size below the projections, once per word
+    places = places.select("doc_id", "len", F.posexplode_outer("s").alias("pos", "hash")).join(vocabulary, "hash", "left_semi")
     holders = i.select("n", F.explode("shingles").alias("hash")).distinct()
     places = places.join(holders, "hash")
     # windows of n words (the whole document, if shorter) that cover the shingle at pos
@@ -109,6 +110,8 @@ def contaminated(docs: DataFrame, items: DataFrame, p: Decontamination = Deconta
     index = index.select("*", F.explode(F.array(*(F.col("v").bitwiseXOR(F.lit(f)) for f in _flips(p)))).alias("value")).drop("v")
     near = probe.join(index, ["n", "block", "value"]).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= p.radius)
     near = near.dropDuplicates(["doc_id", "start", "n", "item_id", "fp"])
-    near = near.withColumn("similarity", weighted_jaccard(shingle_hashes(F.col("h"), F.col("len"), k), F.col("shingles"))).where(F.col("similarity") >= p.threshold)
+    near = near.withColumn("own", shingle_hashes(F.col("h"), F.col("len"), k))
+    near = near.select("doc_id", "item_id", "start", "len", weighted_jaccard(F.col("own"), F.col("shingles")).alias("similarity"))
     best = near.groupBy("doc_id", "item_id").agg(F.max_by(F.struct("similarity", "start", "len"), F.struct("similarity", -F.col("start"))).alias("b"))
+    best = best.where(F.col("b.similarity") >= p.threshold)
     return best.select("doc_id", "item_id", F.col("b.similarity").alias("similarity"), F.col("b.start").cast("long").alias("start"), F.col("b.len").cast("long").alias("n_words"))
