@@ -35,13 +35,14 @@ class AnnIndex:
     width: int = 64  # centroids that the graph search keeps
     copies: int = 4  # lists per vector at most
     boundary: float = 0.1  # a vector joins lists up to (1 + boundary) times its nearest centroid's distance
-    reach: float = 0.35  # a query reads lists up to (1 + reach) times its nearest centroid's distance
+    reach: float = 0.35  # a query reads lists up to (1 + reach) times its nearest centroid's distance (or the usual one, if larger)
+    least: int = 10  # and at least lists that hold this many times k vectors
     block: int = 2_048
     seed: int = 5
 
 
-def fit_centroids(x: np.ndarray, k: int, p: AnnIndex) -> np.ndarray:
-    """k-means whose assignment adds a penalty for large clusters, so that lists come out balanced."""
+def fit_centroids(x: np.ndarray, k: int, p: AnnIndex) -> tuple[np.ndarray, float]:
+    """k-means whose assignment adds a penalty for large clusters, so that lists come out balanced; and the median distance to them."""
     rng = np.random.default_rng(p.seed)
     c = x[rng.permutation(len(x))[:k]].copy()
     size = np.full(k, len(x) / k)
@@ -55,13 +56,14 @@ def fit_centroids(x: np.ndarray, k: int, p: AnnIndex) -> np.ndarray:
         empty = size == 0
         c[~empty] = total[~empty] / size[~empty, None]
         c[empty] = x[rng.integers(0, len(x), int(empty.sum()))]
-    return c
+    d = (x * x).sum(1)[:, None] - 2 * x @ c.T + (c * c).sum(1)[None, :]
+    return c, float(np.median(np.sqrt(np.maximum(d.min(1), 0))))
 
 
 class CentroidGraph:
     """Centroids with links to their nearest ones and a few random ones, searched best-first for many vectors at once."""
 
-    def __init__(self, centroids: np.ndarray, p: AnnIndex):
+    def __init__(self, centroids: np.ndarray, usual: float, p: AnnIndex):
         self.c, self.width = centroids, min(p.width, len(centroids))
         k = len(centroids)
         rng = np.random.default_rng(p.seed)
@@ -74,6 +76,7 @@ class CentroidGraph:
         self.links = np.concatenate([near, rng.integers(0, k, (k, 4), dtype=np.int32)], axis=1)
         self.entry = rng.permutation(k)[: self.width].astype(np.int32)
         self.norm = norm
+        self.usual = usual
 
     def search(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(centroids, distances) per row of x, nearest first, at most ``width``; missing ones are -1 and inf."""
@@ -122,20 +125,23 @@ def choose_lists(x: np.ndarray, graph: CentroidGraph, p: AnnIndex) -> list[list[
     return out
 
 
-def probe_lists(x: np.ndarray, graph: CentroidGraph, p: AnnIndex) -> list[list[int]]:
-    """The lists that each query reads: all within the reach ratio of its nearest centroid's distance.
+def probe_lists(x: np.ndarray, graph: CentroidGraph, p: AnnIndex, sizes: np.ndarray, k: int) -> list[list[int]]:
+    """The lists that each query reads: all within the reach ratio of the distance to its nearest centroid, nearest first.
 
-    The graph search finds the nearest one; where its whole result is within reach, the ratio is
-    checked against every centroid, so its width never cuts the lists read."""
+    A query on top of a centroid takes the usual distance of a vector to its centroid instead. Where the
+    graph search's result ends within reach, or its lists hold too few vectors, every centroid is looked at.
+    """
     ids, dist = graph.search(x)
     out = []
     for v, row, d in zip(x, ids, dist, strict=True):
-        limit = (1 + p.reach) * d[0]
-        if d[-1] <= limit and len(d) < len(graph.c):
-            full = np.sqrt(np.maximum(((graph.c - v) ** 2).sum(1), 0))
-            out.append(np.flatnonzero(full <= max(limit, full.min())).tolist())
-        else:
-            out.append([int(c) for c, dc in zip(row, d, strict=True) if c >= 0 and dc <= limit])
+        limit = (1 + p.reach) * max(d[0], graph.usual)
+        row, d = row[row >= 0], d[row >= 0]
+        if (d[-1] <= limit or sizes[row].sum() < p.least * k) and len(d) < len(graph.c):
+            d = np.sqrt(np.maximum(((graph.c - v) ** 2).sum(1), 0))
+            row = np.argsort(d, kind="stable")
+            d = d[row]
+        enough = np.searchsorted(np.cumsum(sizes[row]), p.least * k) + 1
+        out.append(row[: max(enough, int(np.searchsorted(d, limit, "right")))].tolist())
     return out
 
 
@@ -173,7 +179,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, p: AnnIndex = Ann
     sample = np.array([r.v for r in drawn], np.float64).reshape(len(drawn), dim)
     lift = lambda x: np.concatenate([x, np.sqrt(np.maximum(top - (x * x).sum(1), 0))[:, None]], 1)  # noqa: E731  largest product = smallest distance
     lists = max(1, min(p.most_lists, len(sample), round(n / p.list_size)))
-    graph = CentroidGraph(fit_centroids(lift(sample), lists, p), p) if len(sample) else None
+    graph = CentroidGraph(*fit_centroids(lift(sample), lists, p), p) if len(sample) else None
     shared = vectors.sparkSession.sparkContext.broadcast(graph)  # most_lists centroids at most
 
     def spread(rows: DataFrame, choose, flat: bool) -> DataFrame:
@@ -188,7 +194,11 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, p: AnnIndex = Ann
 
         return rows.select("rep", "v").mapInPandas(run, "list long, rep long, v array<double>")
 
-    posts, probes = stored(spread(classes, choose_lists, False), "posts"), stored(spread(asked, probe_lists, True), "probes")
+    posts = stored(spread(classes, choose_lists, False), "posts")
+    sizes = np.zeros(lists, np.int64)
+    for r in posts.groupBy("list").count().collect():  # most_lists rows at most
+        sizes[r["list"]] = r["count"]
+    probes = stored(spread(asked, lambda x, g, p: probe_lists(x, g, p, sizes, k), True), "probes")
     count = lambda d, name: d.groupBy("list").agg(F.ceil(F.count("*") / p.block).cast("int").alias(name))
     blocks = count(posts, "pb").join(count(probes, "qb"), "list")  # a row per list
     own = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")

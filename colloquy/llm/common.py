@@ -82,6 +82,13 @@ def signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
+def parts(batches: Iterable[pa.RecordBatch], rows: int = 2048) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of at most ``rows`` rows, so that a worker's arrays stay small."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
 def record_batches(rows: Iterable[tuple], schema: pa.Schema, size: int = 4096) -> Iterator[pa.RecordBatch]:
     """Arrow batches of at most ``size`` rows from an iterator of tuples."""
     part: list[tuple] = []

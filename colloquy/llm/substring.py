@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from colloquy.llm.common import mix, signed, stored, window_hashes, word_hashes, words_of
+from colloquy.llm.common import mix, parts, signed, stored, window_hashes, word_hashes, words_of
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -88,7 +88,7 @@ def _seed_rows(window: int):
     """Level 1, combined per batch: rows (seed, span, doc), a marker (seed, null, doc) where spans differ, settled values per document."""
 
     def run(batches):
-        for b in batches:
+        for b in parts(batches):
             seeds, spans, docs = [], [], []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 r = Runs(word_hashes(words_of(text.as_py())), window)
@@ -141,7 +141,7 @@ def _window_rows(window: int):
     """Level 2, combined per batch: rows (window hash, null, doc) and the windows settled in this batch per document."""
 
     def run(batches):
-        for b in batches:
+        for b in parts(batches):
             keys, docs = [], []
             for doc, text, *level1 in zip(b.column("doc_id").to_pylist(), b.column("text"), *(b.column(c) for c in ("spans", "states", "packed")), strict=True):
                 level1 = [x.as_py() for x in level1]
@@ -188,11 +188,9 @@ def _removed(window: int):
 
     def run(batches):
         names = ("text", "spans", "states", "packed", "windows", "packed2")
-        for whole in batches:
-            for i in range(0, whole.num_rows, 1024):
-                b = whole.slice(i, 1024)
-                rows = [one(d, t.as_py(), (s.as_py(), st.as_py(), p.as_py()), (w.as_py(), p2.as_py())) for d, t, s, st, p, w, p2 in zip(b.column("doc_id").to_pylist(), *(b.column(c) for c in names), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema, strict=True)], schema=schema)
+        for b in parts(batches, 1024):
+            rows = [one(d, t.as_py(), (s.as_py(), st.as_py(), p.as_py()), (w.as_py(), p2.as_py())) for d, t, s, st, p, w, p2 in zip(b.column("doc_id").to_pylist(), *(b.column(c) for c in names), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema, strict=True)], schema=schema)
 
     return run
 
