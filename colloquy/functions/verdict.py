@@ -21,10 +21,25 @@ def empty_errors() -> Column:
     return F.array().cast(ERROR_LIST)
 
 
+_STRICT = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
+
+
+def _objects(response: Column | str, item: str) -> Column:
+    """The JSON values of a response, read as one list: a second value or text after the object shows up as
+    a longer or a null list, so exactly one object has size 1."""
+    return F.from_json(F.concat(F.lit("["), _c(response), F.lit("]")), f"array<{item}>", _STRICT)
+
+
+def is_object(response: Column | str) -> Column:
+    """The response is exactly one JSON object (a null response is not)."""
+    parsed = _objects(response, "map<string,string>")
+    return F.coalesce((F.size(parsed) == 1) & F.get(parsed, 0).isNotNull(), F.lit(False))
+
+
 def parse_errors(response: Column | str) -> Column:
-    """FN-7: the ``errors`` list of a JSON response; malformed, null or wrong-shaped -> []."""
-    parsed = F.from_json(_c(response), JUDGE_RESPONSE, {"mode": "PERMISSIVE"})
-    return F.coalesce(parsed.getField("errors"), empty_errors())
+    """FN-7: the ``errors`` list of a response that is one JSON object; anything else -> []."""
+    parsed = _objects(response, JUDGE_RESPONSE.simpleString())
+    return F.coalesce(F.when(F.size(parsed) == 1, F.get(parsed, 0).getField("errors")), empty_errors())
 
 
 def is_actual_error(item: Column) -> Column:
@@ -42,13 +57,21 @@ def has_actual(errors: Column | str) -> Column:
     return F.exists(_c(errors), is_actual_error)
 
 
-def contract_ok(errors: Column | str) -> Column:
-    """FN-8: every item has exactly two line numbers and a reason."""
-    return F.forall(
-        _c(errors),
+def contract_ok(response: Column | str) -> Column:
+    """FN-8: one object with the field ``errors`` alone, whose items have two line numbers, a reason and nothing else.
+
+    A failed or malformed answer does not keep the contract."""
+    parsed = F.get(_objects(response, "map<string,string>"), 0)
+    raw = F.get(_objects(response, "struct<errors:array<map<string,string>>>"), 0).getField("errors")
+    fields = F.forall(raw, lambda e: F.array_sort(F.map_keys(e)) == F.array(F.lit("lines"), F.lit("reason")))
+    typed = F.get(_objects(response, JUDGE_RESPONSE.simpleString()), 0).getField("errors")
+    complete = F.forall(
+        typed,
         lambda e: (F.size(F.coalesce(e.getField("lines"), F.array().cast("array<int>"))) == 2)
+        & F.forall(e.getField("lines"), lambda n: n.isNotNull())
         & e.getField("reason").isNotNull(),
     )
+    return is_object(response) & F.coalesce((F.map_keys(parsed) == F.array(F.lit("errors"))) & fields & complete, F.lit(False))
 
 
 def drop_empty_judges(errors_by_model: Column | str) -> Column:

@@ -22,6 +22,7 @@ from colloquy.functions.calls import concurrent_answer
 from colloquy.functions import prompt as pr
 from colloquy.functions import text as tx
 from colloquy.functions import verdict as vd
+from colloquy.operators.resolve import key_join
 
 @dataclass(frozen=True)
 class ColumnJudge:
@@ -50,7 +51,8 @@ class BatchJudge:
     input_col: str = "prompt"
 
     def column(self, run: Column | None = None) -> Column:
-        udf = F.pandas_udf(self.answer, T.StringType())
+        # A model may answer the same prompt differently: nothing may call it a second time.
+        udf = F.pandas_udf(self.answer, T.StringType()).asNondeterministic()
         prompt = F.col(self.input_col)
         # Rows this judge must not answer reach the function as None (no prompt shipped).
         return udf(prompt if run is None else F.when(run, prompt))
@@ -84,30 +86,35 @@ def fan_out(prompts: DataFrame, judges: Sequence[Judge], skip_col: str | None =
     """JOIN-4 + UDF-1 + UDF-2: attach every judge's raw answer to the transcript row.
 
     Adds ``verdicts``: array<struct<judge_rank, model, status, response>> in
-    judge order. A null answer is a failed call (status 'failed'), kept so it
-    can be retried instead of being taken as "no errors". With ``skip_col``
-    (an array of judge names per row), those judges are not asked again and
-    leave no entry.
+    judge order. Every answer is a column of its own before anything is derived
+    from it, so a judge is called once per transcript. Status: 'failed' for a
+    null answer (no call came back), 'malformed' for one that is not a JSON
+    object, else 'ok'; only 'ok' is final. With ``skip_col`` (an array of judge
+    names per row), those judges are not asked and leave no entry.
     """
+    run = [
+        None if skip_col is None else ~F.array_contains(F.coalesce(F.col(skip_col), F.array().cast("array<string>")), j.name)
+        for j in judges
+    ]
+    answers = [f"_answer_{rank}" for rank in range(len(judges))]
+    asked = prompts.select("*", *(j.column(r).cast("string").alias(c) for j, r, c in zip(judges, run, answers, strict=True)))
     entries = []
-    for rank, judge in enumerate(judges):
-        run = None if skip_col is None else ~F.array_contains(F.coalesce(F.col(skip_col), F.array()), judge.name)
-        resp = judge.column(run)
-        status = F.when(resp.isNull(), F.lit("failed")).otherwise(F.lit("ok"))
-        if run is not None:
-            status = F.when(run, status).otherwise(F.lit("skipped"))
-        entries.append(
-            F.struct(
-                F.lit(rank).cast("int").alias("judge_rank"),
-                F.lit(judge.name).alias("model"),
-                status.alias("status"),
-                resp.cast("string").alias("response"),
-            )
+    for rank, (judge, answer, asks) in enumerate(zip(judges, answers, run, strict=True)):
+        status = F.when(F.col(answer).isNull(), F.lit("failed")).when(vd.is_object(answer), F.lit("ok")).otherwise(F.lit("malformed"))
+        entry = F.struct(
+            F.lit(rank).cast("int").alias("judge_rank"), F.lit(judge.name).alias("model"), status.alias("status"), F.col(answer).alias("response")
         )
+        entries.append(entry if asks is None else F.when(asks, entry))
     verdicts = F.array(*entries)
     if skip_col is not None:
-        verdicts = F.filter(verdicts, lambda v: v.getField("status") != "skipped")
-    return prompts.withColumn("verdicts", verdicts)
+        verdicts = F.filter(verdicts, lambda v: v.isNotNull())
+    return asked.withColumn("verdicts", verdicts).drop(*answers)
+
+
+def _settled(max_attempts: int | None) -> Column:
+    """Over the answers of one (transcript, judge): one is 'ok', or ``max_attempts`` calls have been made."""
+    ok = F.max(F.col("status") == "ok")
+    return ok if max_attempts is None else ok | (F.count(F.lit(1)) >= max_attempts)
 
 
 def judge_todo_keys(
@@ -115,24 +122,23 @@ def judge_todo_keys(
     verdicts: DataFrame,
     judges: Sequence[Judge],
     key: Sequence[str] = DEFAULT_AUDIT.key,
-    max_attempts: int = 2,
+    max_attempts: int | None = None,
 ) -> DataFrame:
-    """Keys with at least one judge still to ask, plus ``done_models``; keys only, no text.
+    """Distinct keys with at least one judge still to ask, plus ``done_models``; keys only, no text.
 
-    A judge is done for a transcript once it answered successfully, or after
-    ``max_attempts`` failed calls (then its verdict stays 'failed' and counts
-    as no errors, as a failed call did in the published audit).
+    A judge is done for a transcript once it gave an 'ok' answer; failed and
+    malformed answers are asked again by every run, or up to ``max_attempts``
+    calls where a bound is given. Null key parts equal null.
     """
-    per_pair = verdicts.groupBy(*key, "model").agg(
-        F.max(F.col("status") == "ok").alias("_ok"), F.count(F.lit(1)).alias("_attempts")
-    )
     done = (
-        per_pair.where(F.col("_ok") | (F.col("_attempts") >= max_attempts))
+        verdicts.groupBy(*key, "model")
+        .agg(_settled(max_attempts).alias("_done"))
+        .where("_done")
         .groupBy(*key)
         .agg(F.collect_set("model").alias("done_models"))
     )
     names = F.array(*[F.lit(j.name) for j in judges])
-    joined = keys.join(done, list(key), "left").withColumn(
+    joined = key_join(keys.select(*key).distinct(), done, list(key), "left").withColumn(
         "done_models", F.coalesce(F.col("done_models"), F.array().cast("array<string>"))
     )
     return joined.where(~F.forall(names, lambda n: F.array_contains(F.col("done_models"), n)))
@@ -143,23 +149,17 @@ def judge_todo(
     verdicts: DataFrame | None,
     judges: Sequence[Judge],
     key: Sequence[str] = DEFAULT_AUDIT.key,
-    max_attempts: int = 2,
-    broadcast_rows: int | None = None,
+    max_attempts: int | None = None,
 ) -> DataFrame:
     """INC-1 at judge level: corpus rows with at least one judge still to ask, plus
     ``done_models`` for ``fan_out(skip_col=...)``.
 
-    The pending keys are found by a keys-only join; with ``broadcast_rows`` they
-    are counted first and, when there are at most that many, broadcast back onto
-    the corpus (a scan and a hash probe: no transcript text is shuffled); beyond
-    the bound the pending keys meet the corpus in a shuffle join.
+    The pending keys are found by a keys-only join and meet the corpus in a
+    second one; AQE broadcasts them where their bytes allow it.
     """
     if verdicts is None:
         return corpus.withColumn("done_models", F.array().cast("array<string>"))
-    pending_keys = judge_todo_keys(corpus.select(*key), verdicts, judges, key, max_attempts)
-    if broadcast_rows is not None and pending_keys.count() <= broadcast_rows:
-        pending_keys = F.broadcast(pending_keys)
-    return corpus.join(pending_keys, list(key), "inner")
+    return key_join(corpus, judge_todo_keys(corpus, verdicts, judges, key, max_attempts), list(key))
 
 
 def verdicts_long(wide: DataFrame, key: Sequence[str] = DEFAULT_AUDIT.key, extra: Sequence[str] = ("n_lines",)) -> DataFrame:
@@ -175,7 +175,7 @@ def with_parsed_errors(verdicts: DataFrame) -> DataFrame:
         verdicts.withColumn("errors", errors)
         .withColumn("n_items", F.size("errors"))
         .withColumn("has_actual", vd.has_actual("errors"))
-        .withColumn("contract_ok", vd.contract_ok("errors"))
+        .withColumn("contract_ok", vd.contract_ok("response"))
     )
 
 
@@ -217,14 +217,16 @@ def gather_verdicts(verdicts: DataFrame, key: Sequence[str] = DEFAULT_AUDIT.key)
     """Regroup a long verdict table into one row per transcript (bounded: one row per judge).
 
     When a (transcript, judge) pair was answered more than once (a retry after
-    a failed call, or a re-run), a successful answer wins over a failed one and
-    a later run over an earlier one.
+    a failed call, or a re-run), a successful answer wins over another and
+    a later one over an earlier one: by ``asked_at`` where it is stored, as run
+    ids of batches and streams do not share an order, then by ``run_id``.
     """
-    run = F.col("run_id") if "run_id" in verdicts.columns else F.lit(0)
+    none = F.lit(None).cast("long")
+    at, run = (F.col(c) if c in verdicts.columns else none for c in ("asked_at", "run_id"))
     best = verdicts.groupBy(*key, "judge_rank", "model").agg(
         F.max_by(
             F.struct("judge_rank", "model", "status", "response"),
-            F.struct((F.col("status") == "ok").alias("ok"), run.alias("run")),
+            F.struct((F.col("status") == "ok").alias("ok"), at.alias("at"), run.alias("run")),
         ).alias("v")
     )
     return best.groupBy(*key).agg(F.collect_list("v").alias("verdicts"))
@@ -233,7 +235,7 @@ def gather_verdicts(verdicts: DataFrame, key: Sequence[str] = DEFAULT_AUDIT.key)
 def pending(corpus: DataFrame, progress: DataFrame, key: Sequence[str] = DEFAULT_AUDIT.key) -> DataFrame:
     """JOIN-1: rows whose key is not in the progress table (left anti join)."""
     key = [k for k in key if k in progress.columns]
-    return corpus.join(progress.select(*key), list(key), "left_anti")
+    return key_join(corpus, progress.select(*key), key, "left_anti")
 
 
 def progress_counts(corpus: DataFrame, progress: DataFrame, key: Sequence[str] = DEFAULT_AUDIT.key) -> DataFrame:
@@ -244,7 +246,7 @@ def progress_counts(corpus: DataFrame, progress: DataFrame, key: Sequence[str] =
     """
     key = [k for k in key if k in progress.columns]
     done = progress.select(*key).distinct().withColumn("_done", F.lit(True))
-    joined = corpus.select(*key).join(done, list(key), "left")
+    joined = key_join(corpus.select(*{*key, "subset"}), done, key, "left")
     return joined.groupBy("subset").agg(
         F.count(F.lit(1)).cast("long").alias("total"),
         F.count_if(F.col("_done").isNotNull()).cast("long").alias("processed"),
@@ -256,21 +258,16 @@ def progress_from_verdicts(
     verdicts: DataFrame,
     key: Sequence[str] = DEFAULT_AUDIT.key,
     n_judges: int | None = None,
-    max_attempts: int = 2,
+    max_attempts: int | None = None,
 ) -> DataFrame:
     """SNK-4 / SET-4 re-aimed: the processed set is derived from the verdict table.
 
-    A transcript is processed when every judge either answered successfully or
-    used up ``max_attempts`` failed calls (the same rule ``judge_todo`` uses);
-    ``n_judges`` defaults to the number of judges seen for that transcript.
-    Two small aggregations, both combined map-side.
+    A transcript is processed when every judge is done with it (the rule of
+    ``judge_todo``); ``n_judges`` defaults to the number of judges seen for that
+    transcript. Two small aggregations, both combined map-side.
     """
-    per_pair = verdicts.groupBy(*key, "model").agg(
-        (F.max(F.col("status") == "ok") | (F.count(F.lit(1)) >= max_attempts)).alias("_done")
-    )
-    per_key = per_pair.groupBy(*key).agg(
-        F.count_if("_done").alias("_n_done"), F.count(F.lit(1)).alias("_n_seen")
-    )
+    per_pair = verdicts.groupBy(*key, "model").agg(_settled(max_attempts).alias("_done"))
+    per_key = per_pair.groupBy(*key).agg(F.count_if("_done").alias("_n_done"), F.count(F.lit(1)).alias("_n_seen"))
     need = F.lit(n_judges) if n_judges else F.col("_n_seen")
     return per_key.where(F.col("_n_done") >= need).select(*key)
 

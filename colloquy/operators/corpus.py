@@ -100,6 +100,11 @@ def union_sources(*sources: DataFrame) -> DataFrame:
     return out
 
 
+def _digest(key: Sequence[str]) -> list[Column]:
+    """The dedup key without its texts: a dialogue takes part as its SHA-256, so no text is an exchange or sort key."""
+    return [F.sha2(F.col(k), 256) if k == "dialogue" else F.col(k) for k in key]
+
+
 def dedup_keep_first(
     df: DataFrame,
     cell: Sequence[str] = DEFAULT_CELL,
@@ -110,15 +115,12 @@ def dedup_keep_first(
 
     Planned as ``row_number() = 1``: Spark inserts a partial WindowGroupLimit
     before the shuffle, so a key with millions of copies leaves each map task
-    as one row. A 64-bit hash leads the partition key so sorting rarely has to
-    compare full texts; the texts stay in the key, so a hash collision can
-    never merge two different dialogues.
+    as one row. Texts travel only where the caller keeps them.
     """
-    hashed = F.xxhash64(*[F.col(k) for k in key])
-    w = Window.partitionBy(*[F.col(c) for c in cell], hashed, *[F.col(k) for k in key]).orderBy(
-        *[F.col(o).asc_nulls_first() for o in order]
-    )
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    names = [f"_k{i}" for i in range(len(key))]
+    keyed = df.select("*", *(c.alias(n) for c, n in zip(_digest(key), names, strict=True)))
+    w = Window.partitionBy(*cell, *names).orderBy(*[F.col(o).asc_nulls_first() for o in order])
+    return keyed.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn", *names)
 
 
 def dedup_keep_first_counted(
@@ -129,19 +131,19 @@ def dedup_keep_first_counted(
 ) -> DataFrame:
     """WIN-1 as an aggregation that also counts what it removed (AGG-18 in the same pass).
 
-    ``min_by(row, order)`` keeps the first row of every (cell, key) and
-    ``n_copies`` records how many input rows it stands for. The aggregation
-    combines map-side, so a key with millions of copies leaves each map task as
-    one row, exactly like the window form; the dedup report is then a sum over
-    the output instead of a second pass over the input.
+    Every column is the ``min_by`` of the order key, which is unique, so all
+    come from the first row of the (cell, key), and columns the caller drops
+    are never shuffled. ``n_copies`` records how many input rows a row stands for.
+    Both combine map-side: a key with millions of copies leaves each map task
+    as one row; the dedup report is a sum over the output.
     """
-    payload = [c for c in df.columns if c not in (*cell, *key)]
-    first = df.groupBy(*cell, F.xxhash64(*[F.col(k) for k in key]).alias("_h"), *key).agg(
-        F.min_by(F.struct(*payload), F.struct(*[F.col(o) for o in order])).alias("_first"),
-        F.count(F.lit(1)).cast("long").alias("n_copies"),
+    names = [f"_k{i}" for i in range(len(key))]
+    keyed = df.select("*", *(c.alias(n) for c, n in zip(_digest(key), names, strict=True)))
+    first = F.struct(*[F.col(o) for o in order])
+    kept = keyed.groupBy(*cell, *names).agg(
+        *[F.min_by(c, first).alias(c) for c in df.columns if c not in cell], F.count(F.lit(1)).cast("long").alias("n_copies")
     )
-    out = first.select(*cell, *key, "_first.*", "n_copies")
-    return out.select(*df.columns, "n_copies")
+    return kept.select(*df.columns, "n_copies")
 
 
 def dedup_report_from_counts(kept: DataFrame, cell: Sequence[str] = DEFAULT_CELL) -> DataFrame:
@@ -202,19 +204,18 @@ def sample_per_cell(
     """WIN-3 / LIM-1: the first ``n`` rows of every cell in source order.
 
     Two levels, both planned with a partial WindowGroupLimit before their
-    shuffle: first the top ``n`` per (cell, bucket), the bucket a hash of the
-    order key (deterministic under retries), so the first shuffle spreads over
-    cells x buckets reducers instead of one per cell; then the top ``n`` per
-    cell over at most ``n * buckets`` rows. Exact: a cell's first ``n`` rows are
-    among the first ``n`` of their buckets.
+    shuffle: first the top ``n`` per (cell, bucket), the bucket the input
+    partition, so every task passes on at most ``n`` rows per cell and the first
+    shuffle spreads over cells x buckets; then the top ``n`` per
+    cell over at most ``n * buckets`` rows. Exact whatever the bucket: a cell's
+    first ``n`` rows are among the first ``n`` of their buckets.
     """
     keys = [F.col(o).asc_nulls_first() for o in order]
-    bucket = F.pmod(F.xxhash64(*[F.col(o) for o in order]), F.lit(buckets))
     # One struct key, so a partitioning on the cell alone cannot satisfy this level:
     # Spark must spread it over (cell, bucket) instead of reusing one per-cell shuffle.
     w1 = Window.partitionBy(F.struct(*[F.col(c) for c in cell], F.col("_bucket"))).orderBy(*keys)
     first = (
-        df.withColumn("_bucket", bucket)
+        df.withColumn("_bucket", F.spark_partition_id() % buckets)
         .withColumn("_r", F.row_number().over(w1))
         .where(F.col("_r") <= n)
         .drop("_r", "_bucket")
@@ -231,18 +232,3 @@ def cell_counts(df: DataFrame, cell: Sequence[str] = DEFAULT_CELL) -> DataFrame:
 def list_cells(df: DataFrame) -> DataFrame:
     """SRC-9: the (subset, split) pairs present; on a partitioned read this touches only partition values."""
     return df.select("subset", "split").distinct()
-
-
-def spread_for_python(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the rows over the cluster's cores before a Python stage, but only
-    when the input arrives in fewer partitions than that (a few large files, an
-    unsplittable multi-line CSV). A large input already has far more splits than
-    cores, so at scale this adds no shuffle. Spark sorts before a round-robin
-    repartition, so a retried stage reproduces the same assignment.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. a remote session): leave the plan as is
-        return df
-    return df.repartition(target) if current < target else df

@@ -45,24 +45,28 @@ class ReportOrder:
         return F.array_position(F.array(*[F.lit(v) for v in self.versions]), c)
 
 
+def _levels(column: str, known: Sequence[str]) -> Column:
+    """The values of ``column`` as one array: configured ones in their order, then the others by name, null last."""
+    place = F.nullif(F.array_position(F.array(*map(F.lit, known)), F.col(column)), F.lit(0))
+    rank = F.when(F.col(column).isNull(), len(known) + 2).otherwise(F.coalesce(place, F.lit(len(known) + 1)))
+    found = F.sort_array(F.collect_set(F.struct(rank.alias("rank"), F.col(column).alias("value"))))
+    return F.transform(found, lambda x: x.getField("value")).alias(column)
+
+
 def report_order(long_counts: DataFrame, vocab: Vocabulary = DEFAULT_VOCAB) -> ReportOrder:
-    """Read the category levels. The input is the aggregated long table (one row per
-    observed (subset, split, version)), so the collected list is vocabulary-sized."""
-    rows = long_counts.select("subset", "split", "transcript_version").distinct().collect()
-    if not rows:  # FIL-6
-        raise RuntimeError("No rows counted. Check dataset/subsets/splits.")
-    subsets = {r.subset for r in rows}
-    versions = {r.transcript_version for r in rows}
-    # A null split has no column of its own (its rows still count in the totals).
-    splits = sorted({r.split for r in rows if r.split is not None})
-    known = subsets.issubset(set(vocab.report_subset_order))
-    subset_levels = (
-        tuple(vocab.report_subset_order) if known else tuple(sorted(subsets, key=lambda s: (s is None, s or "")))
+    """Read the category levels: one row with three lists, collected from the counts."""
+    got = long_counts.agg(
+        _levels("subset", vocab.report_subset_order), _levels("transcript_version", vocab.version_order), _levels("split", vocab.splits)
+    ).first()
+    if not got.split and not got.subset:  # FIL-6
+        raise RuntimeError("the selected subsets and splits hold no rows to count")
+    known = set(got.subset) <= set(vocab.report_subset_order)
+    return ReportOrder(
+        tuple(vocab.report_subset_order if known else got.subset),
+        known,
+        tuple(got.transcript_version),
+        tuple(s for s in got.split if s is not None),  # a null split has no column; its rows still count in the totals
     )
-    known_versions = [v for v in vocab.version_order if v in versions]
-    extra_versions = sorted(versions - set(known_versions))
-    split_levels = [s for s in vocab.splits if s in splits] + [s for s in splits if s not in vocab.splits]
-    return ReportOrder(subset_levels, known, tuple(known_versions + extra_versions), tuple(split_levels))
 
 
 def version_categories(long_counts: DataFrame, vocab: Vocabulary = DEFAULT_VOCAB) -> DataFrame:

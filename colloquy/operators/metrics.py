@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colloquy.config import SPLITS
+from colloquy.config import MISSING_LABEL, SPLITS
 from colloquy.functions import verdict as vd
 
 GROUPINGS = (
@@ -85,7 +85,7 @@ def metrics(
     # Spine: processed subsets x configured splits, zero-filled (JOIN-5), built by one
     # aggregation per subset (split -> rows) and a generator over the configured splits.
     per_subset = totals.groupBy("subset").agg(
-        F.map_from_entries(F.collect_list(F.struct("split", "n_rows"))).alias("_m")
+        F.map_from_entries(F.collect_list(F.when(F.col("split").isNotNull(), F.struct("split", "n_rows")))).alias("_m")
     )
     cell_totals = per_subset.select(
         "subset", F.explode(F.array(*[F.lit(s) for s in splits])).alias("split"), "_m"
@@ -146,9 +146,11 @@ def metrics_document(metrics_long: DataFrame) -> DataFrame:
     )
     vcell = F.struct("notes_with_errors", "all_models_found_errors", "majority_consensus_errors")
 
+    named = lambda key: F.coalesce(F.col(key), F.lit(MISSING_LABEL)).alias(key)  # noqa: E731  a JSON object has no null key
+
     def level(name: str, key: str, value):
         return F.map_from_entries(
-            F.array_sort(F.collect_list(F.when(F.col("grouping") == name, F.struct(F.col(key), value))))
+            F.array_sort(F.collect_list(F.when(F.col("grouping") == name, F.struct(named(key), value))))
         )
 
     summary = F.first(
@@ -163,10 +165,10 @@ def metrics_document(metrics_long: DataFrame) -> DataFrame:
         ignorenulls=True,
     )
     nested_split = m.where(F.col("grouping") == "by_subset_and_split").groupBy("subset").agg(
-        F.map_from_entries(F.collect_list(F.struct("split", cell))).alias("v")
+        F.map_from_entries(F.collect_list(F.struct(named("split"), cell))).alias("v")
     )
     nested_version = m.where(F.col("grouping") == "by_subset_and_transcript_version").groupBy("subset").agg(
-        F.map_from_entries(F.collect_list(F.struct("transcript_version", vcell))).alias("v")
+        F.map_from_entries(F.collect_list(F.struct(named("transcript_version"), vcell))).alias("v")
     )
     flat = m.agg(
         summary.alias("summary"),
@@ -174,9 +176,9 @@ def metrics_document(metrics_long: DataFrame) -> DataFrame:
         level("by_split", "split", cell).alias("by_split"),
         level("by_transcript_version", "transcript_version", vcell).alias("by_transcript_version"),
     )
-    ns = nested_split.agg(F.map_from_entries(F.collect_list(F.struct("subset", "v"))).alias("by_subset_and_split"))
+    ns = nested_split.agg(F.map_from_entries(F.collect_list(F.struct(named("subset"), "v"))).alias("by_subset_and_split"))
     nv = nested_version.agg(
-        F.map_from_entries(F.collect_list(F.struct("subset", "v"))).alias("by_subset_and_transcript_version")
+        F.map_from_entries(F.collect_list(F.struct(named("subset"), "v"))).alias("by_subset_and_transcript_version")
     )
     # Three one-row frames side by side: a union and first(ignorenulls), not a join.
     parts = flat.unionByName(ns, allowMissingColumns=True).unionByName(nv, allowMissingColumns=True)

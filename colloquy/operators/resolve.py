@@ -49,20 +49,8 @@ def with_line_counts(
     return j.withColumn("n_covered", tx.range_length(F.col("line_start"), F.col("line_end"), F.col("n_lines")))
 
 
-def resolve_ranges(
-    ranges: DataFrame,
-    corpus: DataFrame,
-    key: Sequence[str] = DEFAULT_AUDIT.key,
-    broadcast_rows: int | None = None,
-) -> DataFrame:
-    """JOIN-7: the transcript lines inside every flagged range, with their 1-based numbers.
-
-    With ``broadcast_rows`` the ranges are counted first and, when there are at
-    most that many, broadcast onto the corpus scan (no transcript text is
-    shuffled); otherwise the two sides meet in a shuffle join on the key.
-    """
-    if broadcast_rows is not None and ranges.count() <= broadcast_rows:
-        ranges = F.broadcast(ranges)
+def resolve_ranges(ranges: DataFrame, corpus: DataFrame, key: Sequence[str] = DEFAULT_AUDIT.key) -> DataFrame:
+    """JOIN-7: the transcript lines inside every flagged range, with their 1-based numbers."""
     j = key_join(ranges, corpus.select(*key, "dialogue"), key)
     lines = tx.split_lines("dialogue")
     n = F.size(lines)
@@ -114,6 +102,6 @@ def number_within_group(
     offsets = counts.select(*group, "_bucket", F.coalesce(F.sum("_n").over(w_prev), F.lit(0)).alias("_offset"))
     w_in = Window.partitionBy(*group, "_bucket").orderBy(F.col(order))
     numbered = b.withColumn("_rn", F.row_number().over(w_in))
-    return numbered.join(offsets, [*group, "_bucket"]).select(
+    return key_join(numbered, offsets, [*group, "_bucket"]).select(
         *[c for c in df.columns], (F.col("_offset") + F.col("_rn")).cast("long").alias(out)
     )

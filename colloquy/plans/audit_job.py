@@ -81,23 +81,16 @@ def prior_verdicts(spark: SparkSession, store: AuditStore, run_id: int) -> DataF
     return None if v is None else v.where(F.col("run_id") != F.lit(run_id))
 
 
-# Pending keys up to this many are broadcast back onto the corpus (checked by a
-# count first); a key row is ~100 bytes, so this bounds the broadcast to ~200 MB.
-BROADCAST_PENDING_ROWS = 2_000_000
-
-
 def judge_pending(
     spark: SparkSession,
     corpus: DataFrame,
     judges: Sequence[au.Judge],
     store: AuditStore,
     config: AuditConfig,
-    max_attempts: int = 2,
+    max_attempts: int | None = None,
     run_id: int = -1,
-    broadcast_rows: int = BROADCAST_PENDING_ROWS,
 ) -> DataFrame:
-    prior = prior_verdicts(spark, store, run_id)
-    return au.judge_todo(corpus, prior, judges, config.key, max_attempts, broadcast_rows)
+    return au.judge_todo(corpus, prior_verdicts(spark, store, run_id), judges, config.key, max_attempts)
 
 
 def run_audit_job(
@@ -108,11 +101,11 @@ def run_audit_job(
     config: AuditConfig = DEFAULT_AUDIT,
     splits: Sequence[str] = SPLITS,
     run_id: int | None = None,
-    max_attempts: int = 2,
+    max_attempts: int | None = None,
 ) -> AuditResult:
     """One resumable run over ``corpus`` (any selection of the corpus works; what is
     not selected stays pending for a later run). A failed judge call is retried
-    by later runs until it succeeds or has failed ``max_attempts`` times."""
+    by later runs until it succeeds, or ``max_attempts`` times where a bound is given."""
     store = AuditStore(store_root)
     key = list(config.key)
     corpus = au.with_transcript_key(corpus, key)
@@ -122,6 +115,7 @@ def run_audit_job(
     # empty batch appends nothing, and the run's own rows tell whether it asked.
     wide = au.fan_out(au.build_prompts(todo), judges, skip_col="done_models")
     batch = au.verdicts_long(wide, key).withColumn("run_id", F.lit(run_id).cast("long"))
+    batch = batch.withColumn("asked_at", F.lit(int(time.time() * 1000)).cast("long"))
     sk.append_verdicts(batch, store.verdicts)
     written = read_verdicts(spark, store)
     asked = written is not None and not written.where(F.col("run_id") == run_id).select("run_id").isEmpty()
@@ -135,11 +129,11 @@ def finish_run(
     config: AuditConfig = DEFAULT_AUDIT,
     splits: Sequence[str] = SPLITS,
     asked: bool = False,
-    max_attempts: int = 2,
+    max_attempts: int | None = None,
     n_judges: int | None = None,
 ) -> AuditResult:
     """INC-2: findings, progress and metrics are pure functions of the stored verdicts
-    and the corpus totals; this runs alone when nothing is pending."""
+    alone, totals included; this runs alone when nothing is pending."""
     key = list(config.key)
     verdicts = read_verdicts(spark, store)
     if verdicts is None:
@@ -149,7 +143,8 @@ def finish_run(
     n_judges = n_judges or config.n_models
     sk.write_progress(au.progress_from_verdicts(verdicts, key, n_judges, max_attempts), store.progress)
     findings = spark.read.schema(_finding_schema(key)).option("basePath", store.findings).json(store.findings)
-    totals = co.cell_counts(corpus)
+    # Every transcript that any run has judged, as the findings come from all runs too.
+    totals = co.cell_counts(gathered)
     sk.write_metrics(me.metrics(findings, totals, config.n_models, splits), store.metrics, store.metrics_json)
     return AuditResult(asked, verdicts, findings, spark.read.parquet(store.metrics))
 
@@ -164,13 +159,12 @@ def resolve_findings(
     corpus: DataFrame,
     store_root: str,
     config: AuditConfig = DEFAULT_AUDIT,
-    broadcast_rows: int = BROADCAST_PENDING_ROWS,
 ) -> DataFrame:
     """JOIN-7 as a job step: every line inside a flagged range of the stored findings,
     with the judge that flagged it (the manual lookup of the published notes, as a join)."""
     key = list(config.key)
     ranges = flagged_ranges(read_findings(spark, store_root, config), key)
-    return resolve_ranges(ranges, au.with_transcript_key(corpus, key), key, broadcast_rows)
+    return resolve_ranges(ranges, au.with_transcript_key(corpus, key), key)
 
 
 def _finding_schema(key: Sequence[str]):

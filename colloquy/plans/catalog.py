@@ -8,8 +8,10 @@ test plan. Aggregates and computed columns carry the same alias on both sides.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,7 +61,7 @@ def _progress(spark: SparkSession, sf: str) -> DataFrame:
 
 def _variant(spark: SparkSession, sf: str) -> DataFrame:
     """A second delivery of the corpus: ASCII-folded text filed as 'asrcorr'."""
-    c = co.spread_for_python(td.corpus(spark, sf))
+    c = td.corpus(spark, sf)
     return c.select(
         "encounter_id",
         "subset",
@@ -80,20 +82,20 @@ def q_counts_long(spark, sf):
 
 
 def q_counts_rollup(spark, sf):
-    long = _long(spark, sf).cache()
+    long = _long(spark, sf)
     return ct.overall_with_totals(long, _order(long))
 
 
 def _pivot(index):
     def q(spark, sf):
-        long = _long(spark, sf).cache()
+        long = _long(spark, sf)
         return ct.pivot_by_split(long, index, _order(long))
 
     return q
 
 
 def q_counts_complete(spark, sf):
-    long = _long(spark, sf).cache()
+    long = _long(spark, sf)
     return ct.complete_long(long, _order(long))
 
 
@@ -102,12 +104,12 @@ def q_extra_versions(spark, sf):
 
 
 def q_normalize_ascii(spark, sf):
-    d = co.spread_for_python(td.table(spark, sf, "documents").select("doc_id", "text"))
+    d = td.table(spark, sf, "documents").select("doc_id", "text")
     return d.select("doc_id", tx.normalize_text("text").alias("text_ascii"))
 
 
 def q_normalize_ascii_turns(spark, sf):
-    c = co.spread_for_python(td.table(spark, sf, "conversations").select("conv_id", "turn", "text"))
+    c = td.table(spark, sf, "conversations").select("conv_id", "turn", "text")
     return c.select("conv_id", "turn", tx.normalize_text("text").alias("text_ascii"))
 
 
@@ -341,6 +343,35 @@ def q_resume_two_runs(spark, sf):
     )
 
 
+def q_prompt_judge(spark, sf):
+    """UDF-1 / UDF-2: a batch judge that reads the rendered prompt of every document (FN-6)."""
+
+    def answer(prompts: pd.Series) -> pd.Series:
+        return prompts.map(lambda p: f'{{"errors":[{{"lines":[1,{len(p)}],"reason":"{hashlib.md5(p.encode()).hexdigest()}"}}]}}')
+
+    prompts = au.build_prompts(td.table(spark, sf, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("dialogue")))
+    long = au.verdicts_long(au.fan_out(prompts, [au.BatchJudge("judge/prompt", answer)]), ["doc_id"], ())
+    return long.select("doc_id", "model", "status", "response")
+
+
+def q_resume_metrics(spark, sf):
+    """INC-2 over two runs through one verdict table: totals and findings both come from all runs."""
+    corpus = td.corpus(spark, sf)
+    first = corpus.where("subset in ('en', 'de')")
+    parts = [first, au.pending(corpus, first.select(*KEY), KEY)]
+    runs = [au.verdicts_long(_wide(spark, sf, part), KEY).withColumn("run_id", F.lit(n)) for n, part in enumerate(parts)]
+    gathered = au.gather_verdicts(runs[0].unionByName(runs[1]), KEY)
+    return me.metrics(au.findings(gathered, KEY), co.cell_counts(gathered), N_MODELS, td.TESTDATA_VOCAB.splits)
+
+
+def q_pending_null_key(spark, sf):
+    """JOIN-1 with null key parts: versions missing for every third document, and equal only to missing ones."""
+    version = F.when(F.col("doc_id") % 3 != 0, F.col("transcript_version"))
+    corpus = td.corpus(spark, sf).withColumn("transcript_version", version)
+    labels = td.table(spark, sf, "labels").select("doc_id")
+    return au.pending(corpus, corpus.join(labels, "doc_id", "left_semi").select(*KEY), KEY).select(*KEY)
+
+
 QUERIES: dict[str, Query] = {
     "counts_long": q_counts_long,
     "counts_rollup": q_counts_rollup,
@@ -382,6 +413,9 @@ QUERIES: dict[str, Query] = {
     "resolve_ranges": q_resolve_ranges,
     "range_lengths": q_range_lengths,
     "resume_two_runs": q_resume_two_runs,
+    "prompt_judge": q_prompt_judge,
+    "resume_metrics": q_resume_metrics,
+    "pending_null_key": q_pending_null_key,
 }
 
 
@@ -448,22 +482,25 @@ _J_QUALITY = f"""CASE WHEN quality IS NULL THEN NULL WHEN quality = 0 THEN {_q(t
   ELSE {_q(td.RESP_CLEAN)} END"""
 _J_TOXIC = f"""CASE WHEN toxic IS NULL THEN NULL WHEN toxic = 1 THEN {_q(td.RESP_TOXIC_FLAG)}
   ELSE {_q(td.RESP_CLEAN)} END"""
-_J_LENGTH = f"""CASE WHEN n_chars < {td.SHORT_TEXT_CHARS} THEN {_q(td.RESP_SHORT_FLAG)}
-  WHEN n_chars > {td.LONG_TEXT_CHARS} THEN {_q(td.RESP_MALFORMED)} ELSE {_q(td.RESP_CLEAN)} END"""
+_J_ODD = "".join(f" WHEN doc_id % {td.ODD_EVERY} = {i} THEN {_q(r)}" for i, r in enumerate(td.ODD_RESPONSES))
+_J_LENGTH = f"""CASE{_J_ODD} WHEN n_chars < {td.SHORT_TEXT_CHARS} THEN {_q(td.RESP_SHORT_FLAG)}
+  ELSE {_q(td.RESP_CLEAN)} END"""
 
 FANOUT = f"""fan AS (
   SELECT subset, split, encounter_id, transcript_version, 'judge/quality' AS model, 0 AS judge_rank,
-         {_J_QUALITY} AS response FROM x
+         {_J_QUALITY} AS response, false AS malformed FROM x
   UNION ALL
-  SELECT subset, split, encounter_id, transcript_version, 'judge/toxicity', 1, {_J_TOXIC} FROM x
+  SELECT subset, split, encounter_id, transcript_version, 'judge/toxicity', 1, {_J_TOXIC}, false FROM x
   UNION ALL
-  SELECT subset, split, encounter_id, transcript_version, 'judge/length', 2, {_J_LENGTH} FROM x)"""
+  SELECT subset, split, encounter_id, transcript_version, 'judge/length', 2, {_J_LENGTH},
+         doc_id % {td.ODD_EVERY} < {td.ODD_MALFORMED} FROM x)"""
 
-# Flags per transcript: quality=0, toxic=1, short text. The length judge's list is
-# empty when its answer is malformed (long texts), so it is then left out of the map.
+# Flags per transcript: quality=0, toxic=1, short text. The length judge flags nothing where its answer is
+# odd, and its list is empty (left out of the map) where that answer is malformed.
+_PLAIN = f"doc_id % {td.ODD_EVERY} >= {len(td.ODD_RESPONSES)}"
 FLAGS = f"""fl AS (
   SELECT *, coalesce(quality = 0, false) AS fa, coalesce(toxic = 1, false) AS fb,
-         coalesce(n_chars < {td.SHORT_TEXT_CHARS}, false) AS fc
+         coalesce(n_chars < {td.SHORT_TEXT_CHARS} AND {_PLAIN}, false) AS fc
   FROM x),
 f AS (
   SELECT *, CAST(fa AS INT) + CAST(fb AS INT) + CAST(fc AS INT) AS k FROM fl WHERE fa OR fb OR fc)"""
@@ -605,25 +642,26 @@ FROM (SELECT *, parts IS NOT NULL AND len(parts) >= 3 AND a <> '' AND b <> '' AN
 FROM documents""",
     "judge_fanout": f"""WITH {CORPUS}, {LABELLED}, {FANOUT}
 SELECT encounter_id, model, CAST(judge_rank AS BIGINT) AS judge_rank,
-       CASE WHEN response IS NULL THEN 'failed' ELSE 'ok' END AS status, response
+       CASE WHEN response IS NULL THEN 'failed' WHEN malformed THEN 'malformed' ELSE 'ok' END AS status, response
 FROM fan""",
     "parse_responses": f"""WITH {CORPUS}, {LABELLED}
 SELECT encounter_id, 'judge/quality' AS model, CAST(CASE WHEN quality IS NULL THEN 0 ELSE 1 END AS BIGINT) AS n_items,
-       coalesce(quality = 0, false) AS has_actual, true AS contract_ok FROM x
+       coalesce(quality = 0, false) AS has_actual, quality IS NOT NULL AS contract_ok FROM x
 UNION ALL
 SELECT encounter_id, 'judge/toxicity', CAST(CASE WHEN toxic IS NULL THEN 0 ELSE 1 END AS BIGINT),
-       coalesce(toxic = 1, false), true FROM x
+       coalesce(toxic = 1, false), toxic IS NOT NULL FROM x
 UNION ALL
 SELECT encounter_id, 'judge/length',
-       CAST(CASE WHEN n_chars < {td.SHORT_TEXT_CHARS} THEN 2 WHEN n_chars > {td.LONG_TEXT_CHARS} THEN 0 ELSE 1 END AS BIGINT),
-       coalesce(n_chars < {td.SHORT_TEXT_CHARS}, false), true FROM x""",
+       CAST(CASE WHEN doc_id % {td.ODD_EVERY} < {td.ODD_MALFORMED} THEN 0 WHEN NOT {_PLAIN} THEN 1
+                 WHEN n_chars < {td.SHORT_TEXT_CHARS} THEN 2 ELSE 1 END AS BIGINT),
+       coalesce(n_chars < {td.SHORT_TEXT_CHARS} AND {_PLAIN}, false), {_PLAIN} FROM x""",
     "flagged": f"""WITH {CORPUS}, {LABELLED}, {FLAGS}
 SELECT subset, split, encounter_id, transcript_version,
        concat_ws(',', CASE WHEN fa THEN 'judge/quality' END, CASE WHEN fb THEN 'judge/toxicity' END,
                  CASE WHEN fc THEN 'judge/length' END) AS models_with_errors,
        CAST(k AS BIGINT) AS n_models_flagging,
        CAST(CAST(quality IS NOT NULL AS INT) + CAST(toxic IS NOT NULL AS INT)
-            + CAST(coalesce(n_chars <= {td.LONG_TEXT_CHARS}, true) AS INT) AS BIGINT) AS judges_in_map
+            + CAST((doc_id % {td.ODD_EVERY} >= {td.ODD_MALFORMED}) AS INT) AS BIGINT) AS judges_in_map
 FROM f""",
     "models_flagging": f"""WITH {CORPUS}, {LABELLED}, {FLAGS}
 SELECT encounter_id, 'judge/quality' AS model FROM f WHERE fa
@@ -676,7 +714,8 @@ SELECT subset, count(*) AS total, count(*) FILTER (WHERE done) AS processed,
        count(*) FILTER (WHERE NOT done) AS remaining
 FROM p GROUP BY subset""",
     "processed_keys": f"""WITH {CORPUS}, {LABELLED}
-SELECT subset, split, encounter_id, transcript_version FROM x WHERE quality IS NOT NULL AND toxic IS NOT NULL""",
+SELECT subset, split, encounter_id, transcript_version FROM x WHERE quality IS NOT NULL AND toxic IS NOT NULL
+  AND doc_id % {td.ODD_EVERY} >= {td.ODD_MALFORMED}""",
     "resolve_ranges": f"""WITH {CORPUS}, {LABELLED}, {FLAGS},
 r AS (
   SELECT encounter_id, dialogue, 'judge/quality' AS model, 2 AS s, -1 AS e FROM f WHERE fa
@@ -699,3 +738,11 @@ SELECT encounter_id, model, CAST(s AS BIGINT) AS line_start, CAST(e AS BIGINT) A
 FROM (SELECT *, len(string_split(dialogue, chr(10))) AS n FROM r)""",
 }
 ORACLE_SQL["resume_two_runs"] = ORACLE_SQL["judge_fanout"]
+ORACLE_SQL["resume_metrics"] = ORACLE_SQL["metrics_cube"]
+ORACLE_SQL["prompt_judge"] = f"""WITH p AS ({ORACLE_SQL["prompt_render"]})
+SELECT doc_id, 'judge/prompt' AS model, 'ok' AS status,
+       '{{"errors":[{{"lines":[1,' || length(prompt) || '],"reason":"' || md5(prompt) || '"}}]}}' AS response
+FROM p"""
+ORACLE_SQL["pending_null_key"] = f"""WITH {CORPUS}
+SELECT subset, split, encounter_id, CASE WHEN doc_id % 3 <> 0 THEN transcript_version END AS transcript_version
+FROM corpus c WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = c.doc_id)"""

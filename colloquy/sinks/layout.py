@@ -9,18 +9,21 @@ from pyspark.sql import functions as F
 
 from colloquy.config import DEFAULT_VOCAB, Vocabulary
 from colloquy.functions.names import layout_path
+from colloquy.operators.counts import report_order
 from colloquy.operators.corpus import DEFAULT_ORDER, sample_per_cell
+from colloquy.operators.resolve import key_join
 
 
 def write_corpus(df: DataFrame, root: str, columns: Sequence[str], mode: str = "overwrite") -> None:
     """SNK-1: one Parquet dataset partitioned by (subset, split); the route column is not stored.
 
-    No shuffle by cell: a cell may hold a third of all rows, so every task
-    writes its own rows (the writer sorts locally by the partition columns).
+    The rebalance hint lets AQE bring small pieces of a cell together and split a
+    cell that holds a third of all rows, so files are neither tiny nor unbounded.
     Empty cells leave no folder, which the manifest records.
     """
     (
         df.select(*columns, "subset", "split")
+        .hint("rebalance", "subset", "split")
         .write.mode(mode)
         .partitionBy("subset", "split")
         .parquet(root)
@@ -32,11 +35,11 @@ def write_samples(
 ) -> None:
     """SNK-2: the first ``n`` records of every cell as JSON lines.
 
-    The sample is at most ``n`` rows per cell, so it is gathered into one
-    partition only after the limit (a shuffle of those few rows); the top-n
-    stages before it stay spread over the cluster.
+    The winners, at most ``n`` per cell, are picked on the cell and the (unique) order key alone; their texts are
+    read in a second scan and gathered into one partition.
     """
-    sample = sample_per_cell(df, n=n, order=order)
+    at = ["subset", "split", *order]
+    sample = key_join(df, sample_per_cell(df.select(*at), n=n, order=order), at)
     (
         sample.select(*columns, "subset", "split", "sample_rank")
         .repartition(1)
@@ -79,12 +82,13 @@ def manifest(spark: SparkSession, cell_counts: DataFrame | None, vocab: Vocabula
     return out.coalesce(1).sortWithinPartitions("config_rank", "split_rank").drop("config_rank", "split_rank")
 
 
-def write_counts_csv(long_counts: DataFrame, path: str) -> None:
-    """SNK-6: long-form counts CSV (subset, split, transcript_version, count); tiny input."""
+def write_counts_csv(long_counts: DataFrame, path: str, vocab: Vocabulary = DEFAULT_VOCAB) -> None:
+    """SNK-6: long-form counts CSV (subset, split, transcript_version, count) in category order, extras last; tiny input."""
+    order = report_order(long_counts, vocab)
     (
         long_counts.select("subset", "split", "transcript_version", "count")
-        .orderBy("subset", "transcript_version", "split")
         .coalesce(1)
+        .sortWithinPartitions(order.subset_rank(F.col("subset")), order.version_rank(F.col("transcript_version")), "split")
         .write.mode("overwrite")
         .option("header", True)
         .csv(path)

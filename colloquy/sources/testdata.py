@@ -80,25 +80,10 @@ def conversation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("conv_id", "turn", line.alias("line"))
 
 
-def dialogues(spark: SparkSession, sf_dir: str, chunk_turns: int = 4096) -> DataFrame:
-    """Dialogue text per conversation, lines in turn order.
-
-    Two levels: turns are first joined into chunks of at most ``chunk_turns``
-    consecutive turns per (conversation, chunk), then the chunks of a
-    conversation are joined in order. No group sorts or holds more than one
-    chunk's turns, or one conversation's chunk strings; the result is one value
-    per conversation, as the data model requires.
-    """
-    lines = conversation_lines(spark, sf_dir).withColumn(
-        "_chunk", F.floor(F.col("turn") / F.lit(chunk_turns)).cast("long")
-    )
-    chunks = lines.groupBy("conv_id", "_chunk").agg(
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct("turn", "line"))), lambda x: x.getField("line")), "\n"
-        ).alias("_text")
-    )
-    agg = chunks.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("_chunk", "_text"))).alias("_c"))
-    return agg.select("conv_id", F.array_join(F.transform("_c", lambda x: x.getField("_text")), "\n").alias("dialogue"))
+def dialogues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dialogue text per conversation, lines in turn order: one value per conversation, as the data model requires."""
+    lines = conversation_lines(spark, sf_dir).groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "line"))).alias("_l"))
+    return lines.select("conv_id", F.array_join(F.transform("_l", lambda x: x.getField("line")), "\n").alias("dialogue"))
 
 
 def labelled_prompt_inputs(spark: SparkSession, sf_dir: str, corpus_df: DataFrame | None = None) -> DataFrame:
@@ -123,8 +108,17 @@ RESP_TOXIC_FLAG = _resp((1, -1, "whole transcript flagged"))
 RESP_SHORT_FLAG = _resp((1, 1, "first line only"), (-1, -1, "rest is fine"))
 RESP_CLEAN = _resp((-1, -1, "no swapped tags"))
 RESP_MALFORMED = '{"errors": [{"lines": [3, '
-LONG_TEXT_CHARS = 20000
 SHORT_TEXT_CHARS = 500
+# Answers that break the contract in one way each, given for doc_id mod 17 = 0, 1, 2, ...
+ODD_EVERY = 17
+ODD_RESPONSES = (
+    RESP_MALFORMED,  # cut off
+    RESP_CLEAN + " Hope this helps.",  # text after the object
+    RESP_CLEAN.replace('"', "'"),  # not JSON
+    '{"errors":[{"lines":[-1,-1],"reason":"fine","sure":true}]}',  # parses, with a field too many
+    '{"errors":[{"lines":[-1,-1]}]}',  # parses, without a reason
+)
+ODD_MALFORMED = 3  # so many of them are not one JSON object
 
 
 def testdata_judges() -> list[ColumnJudge]:
@@ -143,8 +137,10 @@ def testdata_judges() -> list[ColumnJudge]:
     )
     length = ColumnJudge(
         "judge/length",
-        lambda: F.when(F.col("n_chars") < SHORT_TEXT_CHARS, F.lit(RESP_SHORT_FLAG))
-        .when(F.col("n_chars") > LONG_TEXT_CHARS, F.lit(RESP_MALFORMED))
+        lambda: F.when(
+            F.col("doc_id") % ODD_EVERY < len(ODD_RESPONSES), _pick(ODD_RESPONSES, F.least(F.col("doc_id") % ODD_EVERY, F.lit(len(ODD_RESPONSES) - 1)))
+        )
+        .when(F.col("n_chars") < SHORT_TEXT_CHARS, F.lit(RESP_SHORT_FLAG))
         .otherwise(F.lit(RESP_CLEAN)),
     )
     return [quality, toxicity, length]

@@ -15,6 +15,7 @@ batches is by the anti-join, not by streaming state.
 
 from __future__ import annotations
 
+import time
 import zlib
 from collections.abc import Sequence
 
@@ -25,7 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from colloquy.config import DEFAULT_AUDIT, AuditConfig
 from colloquy.operators import audit as au
-from colloquy.plans.audit_job import BROADCAST_PENDING_ROWS, AuditStore, prior_verdicts
+from colloquy.plans.audit_job import AuditStore, prior_verdicts
 from colloquy.session import scratch_path
 from colloquy.sinks import findings as sk
 
@@ -37,14 +38,15 @@ def audit_batch(
     judges: Sequence[au.Judge],
     store: AuditStore,
     config: AuditConfig = DEFAULT_AUDIT,
-    max_attempts: int = 2,
+    max_attempts: int | None = None,
 ) -> None:
     key = list(config.key)
     batch = au.with_transcript_key(batch, key)
     prior = prior_verdicts(spark, store, epoch_id)
-    todo = au.judge_todo(batch, prior, judges, key, max_attempts, BROADCAST_PENDING_ROWS)
+    todo = au.judge_todo(batch, prior, judges, key, max_attempts)
     wide = au.fan_out(au.build_prompts(todo), judges, skip_col="done_models")
     out = au.verdicts_long(wide, key).withColumn("run_id", F.lit(epoch_id).cast("long"))
+    out = out.withColumn("asked_at", F.lit(int(time.time() * 1000)).cast("long"))
     sk.append_verdicts(out, store.verdicts)
 
 

@@ -113,8 +113,8 @@ def test_resume_with_failures_equals_single_run(spark, scratch):
     first = run_audit_job(spark, inputs.where("split = 'train'"), judges, store, cfg, run_id=1)
     v1 = read_verdicts(spark, AuditStore(store))
     flaky_failed = v1.where("status = 'failed' AND model = 'judge/flaky'").count()
-    failed = v1.where("status = 'failed'").count()
-    failed_models = {r.model for r in v1.where("status = 'failed'").select("model").distinct().collect()}
+    failed = v1.where("status <> 'ok'").count()
+    failed_models = {r.model for r in v1.where("status <> 'ok'").select("model").distinct().collect()}
     assert first.asked_judges and flaky_failed > 0
     os.remove(flag)
     second = run_audit_job(spark, inputs, judges, store, cfg, run_id=2)
@@ -132,11 +132,11 @@ def test_resume_with_failures_equals_single_run(spark, scratch):
              "error_percentage", "all_models_found_errors", "majority_consensus_errors"]
     assert _as_set(one.metrics, mcols) == _as_set(second.metrics, mcols)
 
-    # Calls that keep failing (no label) are retried once more, then given up;
-    # after that nothing is pending and a run only recomputes the metrics (INC-2).
+    # Calls that keep failing (no label) are retried by every run, or, where a bound is given, up to it;
+    # then nothing is pending and a run only recomputes the metrics (INC-2).
     third = run_audit_job(spark, inputs, judges, store, cfg, run_id=3)
     assert third.asked_judges
-    fourth = run_audit_job(spark, inputs, judges, store, cfg, run_id=4)
+    fourth = run_audit_job(spark, inputs, judges, store, cfg, run_id=4, max_attempts=2)
     assert not fourth.asked_judges
     assert _as_set(fourth.metrics, mcols) == _as_set(one.metrics, mcols)
 
@@ -181,7 +181,7 @@ def test_rerun_with_same_run_id_replaces_its_verdicts(spark, scratch):
     run_audit_job(spark, inputs, td.testdata_judges(), store, cfg, run_id=8)
     v = read_verdicts(spark, AuditStore(store))
     assert _as_set(v.where("run_id = 7"), cols) == first
-    assert v.where("run_id = 8").count() == v.where("run_id = 7 AND status = 'failed'").count()
+    assert v.where("run_id = 8").count() == v.where("run_id = 7 AND status <> 'ok'").count()
 
 
 def test_single_pass_audit_matches_job_findings(spark):
@@ -249,3 +249,94 @@ def test_concurrent_judge_isolates_failed_calls(spark):
             assert r.status == "failed" and r.response is None
         else:
             assert r.status == "ok" and r.response == call(r.prompt)
+
+
+# ---------------------------------------------------------------------------
+# One call per transcript and judge; totals over all runs; null and repeated keys
+# ---------------------------------------------------------------------------
+def _counting_judge(log, name="judge/count", answer='{"errors":[{"lines":[1,1],"reason":"x"}]}'):
+    def reply(prompts: pd.Series) -> pd.Series:
+        with open(log, "a") as f:
+            f.write("".join("x\n" for p in prompts if p is not None))
+        return prompts.map(lambda p: None if p is None else answer)
+
+    return au.BatchJudge(name, reply)
+
+
+def _calls(log):
+    n = len(open(log).readlines()) if os.path.exists(log) else 0
+    open(log, "w").close()
+    return n
+
+
+def test_every_judge_is_called_once_per_transcript(spark, scratch):
+    log = os.path.join(scratch, "calls")
+    judges = [_counting_judge(log, f"judge/{i}") for i in range(2)]
+    cfg = td.TESTDATA_AUDIT.__class__(judges=tuple(j.name for j in judges), key=tuple(KEY))
+    corpus = td.corpus(spark, SF_SMALL).limit(20).cache()
+    n = corpus.count()
+    long, found = au.run_audit(corpus, judges, cfg)
+    assert long.count() >= 0 and _calls(log) in (0, 2 * n)
+    long.collect()
+    assert _calls(log) == 2 * n
+    found.collect()
+    assert _calls(log) == 2 * n
+    run_audit_job(spark, corpus, judges, os.path.join(scratch, "store"), cfg, run_id=1)
+    assert _calls(log) == 2 * n
+    run_audit_job(spark, corpus, judges, os.path.join(scratch, "store"), cfg, run_id=2)
+    assert _calls(log) == 0
+    source = os.path.join(scratch, "in")
+    corpus.write.parquet(source)
+    start_audit_stream(spark, source, corpus.schema, judges, os.path.join(scratch, "stream"), cfg, os.path.join(scratch, "ck")).awaitTermination()
+    assert _calls(log) == 2 * n
+
+
+def test_metrics_of_two_runs_cover_both_selections(spark, scratch):
+    log = os.path.join(scratch, "calls")
+    judges = [_counting_judge(log)]
+    cfg = td.TESTDATA_AUDIT.__class__(judges=("judge/count",), key=tuple(KEY))
+    corpus = td.corpus(spark, SF_SMALL).withColumn("transcript_version", F.when(F.col("doc_id") % 2 == 0, F.col("transcript_version")))
+    first, second = (corpus.where(F.col("subset").isin(*s)) for s in (["en"], ["de", "fr"]))
+    store = os.path.join(scratch, "store")
+    run_audit_job(spark, first, judges, store, cfg, run_id=1)
+    m = run_audit_job(spark, second, judges, store, cfg, run_id=2).metrics.collect()
+    n1, n2 = first.count(), second.count()
+    (summary,) = [r for r in m if r.grouping == "summary"]
+    assert (summary.total_notes, summary.notes_with_errors) == (n1 + n2, n1 + n2)
+    assert {r.subset for r in m if r.grouping == "by_subset"} == {"en", "de", "fr"}
+    assert all(r.error_percentage <= 100 for r in m if r.error_percentage is not None)
+    doc = json.loads(open(next(os.path.join(d, f) for d, _, fs in os.walk(AuditStore(store).metrics_json) for f in fs if f.startswith("part"))).read())
+    assert "<missing>" in doc["by_transcript_version"]
+
+
+def test_null_and_repeated_keys_stay_linear(spark):
+    key = ["subset", "split", "encounter_id", "transcript_version"]
+    rows = [("en", "train", "", "asr", f"t{i}") for i in range(50)] + [("en", "train", "n", None, "x"), ("en", "valid", "m", "asr", "y")]
+    corpus = spark.createDataFrame(rows, "subset string, split string, encounter_id string, transcript_version string, dialogue string")
+    judges = [au.ColumnJudge("j", lambda: F.lit('{"errors":[]}'))]
+    done = au.verdicts_long(au.fan_out(corpus.where("encounter_id = 'm'").withColumn("n_lines", F.lit(1)), judges), key)
+    assert au.judge_todo(corpus, done, judges, key).count() == 51
+    again = au.verdicts_long(au.fan_out(corpus.withColumn("n_lines", F.lit(1)), judges), key)
+    assert au.judge_todo(corpus, again, judges, key).count() == 0
+    assert au.pending(corpus, corpus.where("encounter_id = 'n'"), key).count() == 51
+
+
+def test_strict_responses(spark):
+    good = '{"errors":[{"lines":[1,2],"reason":"r"}]}'
+    cases = {
+        good: (True, 1, True),
+        good + " ok": (False, 0, False),
+        good + good: (False, 0, False),
+        good.replace('"', "'"): (False, 0, False),
+        f"[{good}]": (False, 0, False),
+        "null": (False, 0, False),
+        '{"errors":[]}': (True, 0, True),
+        "{}": (True, 0, False),
+        '{"errors":[],"note":1}': (True, 0, False),
+        '{"errors":[{"lines":[1,2]}]}': (True, 1, False),
+        '{"errors":[{"lines":[1],"reason":"r"}]}': (True, 1, False),
+        '{"errors":[{"lines":[1,2],"reason":"r","x":0}]}': (True, 1, False),
+    }
+    d = spark.createDataFrame([(c,) for c in cases] + [(None,)], "r string")
+    got = {r.r: (r.o, r.n, r.c) for r in d.select("r", vd.is_object("r").alias("o"), F.size(vd.parse_errors("r")).alias("n"), vd.contract_ok("r").alias("c")).collect()}
+    assert got == {**cases, None: (False, 0, False)}

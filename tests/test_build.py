@@ -68,7 +68,7 @@ def test_missing_split_file_raises(spark, scratch):
 
 def test_missing_required_columns_raises(spark, scratch):
     data = challenge_dir(os.path.join(scratch, "d"), {}, header=["dataset", "dialogue"])
-    with pytest.raises(ValueError, match=r"missing required columns \['encounter_id', 'note'\]"):
+    with pytest.raises(ValueError, match="columns encounter_id, note not in the header"):
         cf.read_challenge(spark, data)
 
 
@@ -92,7 +92,7 @@ def test_variant_files_with_different_headers(spark, scratch):
     write_csv(os.path.join(data, "abl", "train_other_asr.csv"), ["id", "dialogue", "note"], [["Y", "y", "y"]])
     write_csv(os.path.join(data, "abl", "bad.csv"), ["id", "dialogue", "note"], [["Z", "z", "z"]])
     files = cf.discover_variants(spark, data)
-    assert sorted((f.split, f.subset, f.transcript_version) for f in files) == [
+    assert sorted((f.split, f.subset, f.transcript_version) for f in files.collect()) == [
         ("train", "aci", "asr_fix"),
         ("train", "aci", "asrcorr"),
         ("valid", "virtscribe", "asr"),
@@ -260,3 +260,28 @@ def test_build_without_ascii_normalisation_keeps_the_text(spark, scratch):
     res = build_basic(spark, data, os.path.join(scratch, "out"), options=BuildOptions(ascii_normalize=False, on_unknown_subset="drop"))
     row = res.corpus.select("subset", "dialogue", "note").first()
     assert (row.subset, row.dialogue, row.note) == ("virtassist", "café — ok", "nöte")
+
+
+def test_variant_names_with_spaces_and_percent_signs(spark, scratch):
+    data = challenge_dir(os.path.join(scratch, "d"), {})
+    for name, text in (("train _aci_asrcorr.csv", "d1"), ("train_aci_asr corr.csv", "d2"), ("valid_aci_100%25 a+b.csv", "d3")):
+        write_csv(os.path.join(data, "odd names", name), ["id", "dialogue", "note"], [["A", text, "n"]])
+    rows = cf.read_variants(spark, cf.discover_variants(spark, data)).collect()
+    assert {r.dialogue: (r.split, r.subset, r.transcript_version) for r in rows} == {
+        "d1": ("train", "aci", "asrcorr"),
+        "d2": ("train", "aci", "asr corr"),
+        "d3": ("valid", "aci", "100%25 a+b"),
+    }
+
+
+def test_a_hot_cell_is_written_in_few_files(spark, scratch):
+    import glob
+
+    from pyspark.sql import functions as F
+
+    from colloquy.sinks.layout import write_corpus
+
+    df = spark.range(0, 20000, 1, 64).select(F.lit("t").alias("note"), F.lit("aci").alias("subset"), F.when(F.col("id") % 100 == 0, "valid").otherwise("train").alias("split"))
+    write_corpus(df, os.path.join(scratch, "out"), ["note"])
+    for split in ("train", "valid"):
+        assert 1 <= len(glob.glob(os.path.join(scratch, "out", "subset=aci", f"split={split}", "*.parquet"))) <= 8

@@ -85,7 +85,7 @@ def test_empty_selection_raises(spark):
     import pytest
 
     corpus = published_long(spark).select("subset", "split", "transcript_version")
-    with pytest.raises(RuntimeError, match="No rows counted"):
+    with pytest.raises(RuntimeError, match="no rows to count"):
         count_report(corpus, splits=["nope"])
 
 

@@ -94,12 +94,9 @@ def test_unify_newlines(spark):
     ],
 )
 def test_parse_variant_name(spark, name, want):
-    from colloquy.sources.csv_files import parse_name
-
     r = one(spark, nm.parse_variant_name("v"), name)
     got = None if r is None else (r.split, r.subset, r.transcript_version)
     assert got == want
-    assert parse_name(name) == want
 
 
 def test_layout_path(spark):
@@ -193,14 +190,6 @@ def test_number_within_group_matches_row_number(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
-def test_dialogue_chunks_do_not_change_the_text(spark):
-    from colloquy.sources import testdata as td
-
-    small = {r.conv_id: r.dialogue for r in td.dialogues(spark, "/root/testdata/sf0.001", chunk_turns=2).collect()}
-    whole = {r.conv_id: r.dialogue for r in td.dialogues(spark, "/root/testdata/sf0.001").collect()}
-    assert small == whole and len(whole) > 0
-
-
 def test_map_level_verdict_functions(spark):
     schema = "m map<string, array<struct<lines:array<int>,reason:string>>>"
     m = {

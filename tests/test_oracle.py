@@ -5,10 +5,10 @@ import pytest
 import __spark_entry__ as entry
 from colloquy.plans.oracle import compare, duckdb_with_views
 
-from conftest import SF_SMALL
+from colloquy.plans.catalog import ORACLE_SQL as ORACLES
+from colloquy.plans.catalog import QUERIES
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+from conftest import SF_SMALL
 
 
 @pytest.fixture(scope="module")

@@ -4,12 +4,10 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from colloquy.plans.catalog import QUERIES
 
 from conftest import SF_SMALL
 
-QUERIES = entry.queries()
-
 
 def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
@@ -29,7 +27,7 @@ def test_no_pairwise_joins_and_no_row_udfs(plans):
 
 def test_python_only_where_text_is_folded(plans):
     with_python = {n for n, p in plans.items() if "ArrowEvalPython" in p}
-    assert with_python == {"normalize_ascii", "normalize_ascii_turns", "union_sources"}
+    assert with_python == {"normalize_ascii", "normalize_ascii_turns", "union_sources", "prompt_judge"}
 
 
 @pytest.mark.parametrize("name", ["dedup_keep_first", "union_sources", "sample_per_cell"])
@@ -148,22 +146,40 @@ def test_counted_dedup_equals_window_dedup_and_collapses_map_side(spark):
     assert distinct <= written <= distinct * parts and written < n
 
 
-def test_incremental_run_probes_the_corpus_without_shuffling_text(spark):
+def test_plans_carry_no_broadcast_hint(spark):
     from colloquy.operators import audit as au
+    from colloquy.operators.resolve import flagged_ranges, resolve_ranges
     from colloquy.sources import testdata as td
 
     key = list(td.TESTDATA_AUDIT.key)
     corpus = td.labelled_prompt_inputs(spark, SF_SMALL)
-    judges = td.testdata_judges()
-    done = au.verdicts_long(au.fan_out(au.build_prompts(corpus.where("split <> 'valid'")), judges), key)
-    small = au.judge_todo(corpus, done, judges, key, broadcast_rows=10_000)
-    rows = small.collect()
-    assert {r.split for r in rows} >= {"valid"}
-    plan = plan_of(small)
-    # The pending keys (counted, under the bound) are broadcast; the corpus rows with their text are probed in place.
-    assert "BroadcastHashJoin" in plan and "BroadcastExchange" in plan
-    big = au.judge_todo(corpus, done, judges, key, broadcast_rows=0)
-    assert sorted(map(tuple, big.select(*key).collect())) == sorted(map(tuple, small.select(*key).collect()))
+    wide = au.fan_out(au.build_prompts(corpus.where("split <> 'valid'")), td.testdata_judges())
+    todo = au.judge_todo(corpus, au.verdicts_long(wide, key), td.testdata_judges(), key)
+    assert {r.split for r in todo.select("split").distinct().collect()} >= {"valid"}
+    lines = resolve_ranges(flagged_ranges(au.findings(wide, key), key), corpus, key)
+    for df in (todo, lines):
+        assert "ResolvedHint" not in df._jdf.queryExecution().optimizedPlan().toString()
+        assert "hint" not in df._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def _exchanged(df) -> str:
+    """The attributes that exchanges of a plan carry or deal by."""
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    optimized = df._jdf.queryExecution().executedPlan().toString()
+    return plan + "\n".join(x for x in optimized.splitlines() if "Exchange" in x)
+
+
+def test_dedup_and_samples_exchange_no_text(spark):
+    from colloquy.plans.catalog import QUERIES
+
+    for name in ("dedup_keep_first", "dedup_counted", "dedup_report", "union_sources", "sample_per_cell"):
+        plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        lines = plan.splitlines()
+        for i, x in enumerate(lines):
+            if "Exchange" in x:
+                assert "dialogue" not in x and "text" not in x
+                below = next(y for y in lines[i + 1 :] if "Project" in y or "Aggregate" in y or "Scan" in y)
+                assert not re.search(r"(dialogue|text)#\d+(?=[,\]])", below.split("Project", 1)[-1]), (name, below)
 
 
 def test_sample_is_exact_and_bounded_for_a_hot_cell(spark):
@@ -171,7 +187,7 @@ def test_sample_is_exact_and_bounded_for_a_hot_cell(spark):
 
     from colloquy.operators.corpus import sample_per_cell
 
-    n_rows, parts, buckets = 20000, 8, 64
+    n_rows, parts, buckets = 20000, 8, 1024
     df = spark.range(n_rows, numPartitions=parts).select(
         # One real cell holding every row (a computed column, so the optimizer cannot fold it away).
         F.when(F.col("id") >= 0, F.lit("aci")).otherwise(F.lit("other")).alias("subset"),
