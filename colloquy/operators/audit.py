@@ -162,6 +162,24 @@ def judge_todo(
     return key_join(corpus, judge_todo_keys(corpus, verdicts, judges, key, max_attempts), list(key))
 
 
+def verdicts_from_state(
+    corpus: DataFrame, progress: DataFrame, findings: DataFrame, judges: Sequence[Judge], key: Sequence[str] = DEFAULT_AUDIT.key
+) -> DataFrame:
+    """Stored progress and findings as verdict rows, so that a run resumes from them.
+
+    Every corpus transcript that ``progress`` names (by the key columns it has) was answered by every
+    judge: with the errors its finding records for the judge, else with none.
+    """
+    named = [k for k in key if k in progress.columns]
+    found = [k for k in key if k in findings.columns]
+    done = key_join(corpus.select(*key).distinct(), progress.select(*named).distinct(), named, "left_semi")
+    done = key_join(done, findings.select(*found, "errors"), found, "left")
+    ranked = F.array(*(F.struct(F.lit(i).cast("int").alias("judge_rank"), F.lit(j.name).alias("model")) for i, j in enumerate(judges)))
+    rows = done.select(*key, "errors", F.inline(ranked))
+    errors = F.coalesce(F.try_element_at("errors", F.col("model")), vd.empty_errors())
+    return rows.select(*key, "judge_rank", "model", F.lit("ok").alias("status"), F.to_json(F.struct(errors.alias("errors"))).alias("response"))
+
+
 def verdicts_long(wide: DataFrame, key: Sequence[str] = DEFAULT_AUDIT.key, extra: Sequence[str] = ("n_lines",)) -> DataFrame:
     """The stored verdict table: one row per (transcript, judge)."""
     cols = [c for c in extra if c in wide.columns]

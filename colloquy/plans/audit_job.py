@@ -9,8 +9,8 @@ Storage layout under ``store_root`` (shared storage on a cluster):
 
 A run asks judges only for (transcript, judge) pairs without a successful
 answer; if nothing is left it recomputes findings and metrics only (INC-2).
-An interrupted run commits nothing; a finished one is visible as one write of
-its own run_id partitions, and running it again with the same run_id replaces them.
+A run stores its slices one by one, each as one write of its own partitions:
+an interrupted run keeps the finished ones, and running it again with the same run_id replaces them.
 """
 
 from __future__ import annotations
@@ -102,26 +102,51 @@ def run_audit_job(
     splits: Sequence[str] = SPLITS,
     run_id: int | None = None,
     max_attempts: int | None = None,
+    slices: int = 1,
 ) -> AuditResult:
     """One resumable run over ``corpus`` (any selection of the corpus works; what is
     not selected stays pending for a later run). A failed judge call is retried
-    by later runs until it succeeds, or ``max_attempts`` times where a bound is given."""
+    by later runs until it succeeds, or ``max_attempts`` times where a bound is given.
+
+    The work is cut into ``slices`` by a hash of the key, each stored as soon as it
+    is answered: a run that breaks off keeps the slices before, and the next
+    run (with an id of its own) asks for the rest only.
+    """
     store = AuditStore(store_root)
     key = list(config.key)
     corpus = au.with_transcript_key(corpus, key)
     run_id = int(time.time() * 1000) if run_id is None else run_id
-    todo = judge_pending(spark, corpus, judges, store, config, max_attempts, run_id)
-    # No separate emptiness check (it would compute the anti-join twice): an
-    # empty batch appends nothing, and the run's own rows tell whether it asked.
-    wide = au.fan_out(au.build_prompts(todo), judges, skip_col="done_models")
-    batch = au.verdicts_long(wide, key).withColumn("run_id", F.lit(run_id).cast("long"))
-    batch = batch.withColumn("asked_at", F.lit(int(time.time() * 1000)).cast("long"))
-    sk.append_verdicts(batch, store.verdicts)
+    for n in range(slices):
+        part = corpus if slices == 1 else corpus.where(F.pmod(F.xxhash64(*key), F.lit(slices)) == n)
+        todo = judge_pending(spark, part, judges, store, config, max_attempts, run_id)
+        wide = au.fan_out(au.build_prompts(todo), judges, skip_col="done_models")
+        add_verdicts(au.verdicts_long(wide, key), store, run_id, n)
     written = read_verdicts(spark, store)
     asked = written is not None and not written.where(F.col("run_id") == run_id).select("run_id").isEmpty()
     return finish_run(spark, corpus, store, config, splits, asked, max_attempts, len(judges))
 
 
+def add_verdicts(rows: DataFrame, store: AuditStore, run_id: int, part: int = 0) -> None:
+    """Store one slice of a run's verdicts with the time of asking."""
+    rows = rows.withColumn("run_id", F.lit(run_id).cast("long")).withColumn("slice", F.lit(part))
+    sk.append_verdicts(rows.withColumn("asked_at", F.lit(int(time.time() * 1000)).cast("long")), store.verdicts)
+
+
+def import_state(
+    corpus: DataFrame,
+    progress: DataFrame,
+    findings: DataFrame,
+    judges: Sequence[au.Judge],
+    store_root: str,
+    config: AuditConfig = DEFAULT_AUDIT,
+    run_id: int = 0,
+) -> None:
+    """M2: take stored progress and findings (SRC-10, SRC-11) into the verdict table; later runs skip what they cover."""
+    corpus = au.with_transcript_key(corpus, config.key)
+    rows = au.verdicts_from_state(corpus, progress, findings, judges, config.key)
+    add_verdicts(rows.withColumn("n_lines", F.lit(None).cast("int")), AuditStore(store_root), run_id)
+
+
 def finish_run(
     spark: SparkSession,
     corpus: DataFrame,

@@ -372,6 +372,19 @@ def q_pending_null_key(spark, sf):
     return au.pending(corpus, corpus.join(labels, "doc_id", "left_semi").select(*KEY), KEY).select(*KEY)
 
 
+def q_import_progress(spark, sf):
+    """SRC-10 / SRC-11 as state: progress on (subset, split, encounter_id) and findings, read back as findings."""
+    progress = _progress(spark, sf).select("subset", "split", "encounter_id")
+    rows = au.verdicts_from_state(td.corpus(spark, sf), progress, _findings(spark, sf), td.testdata_judges(), KEY)
+    f = au.findings(au.gather_verdicts(rows, KEY), KEY)
+    return f.select(
+        *KEY,
+        F.array_join("models_with_errors", ",").alias("models_with_errors"),
+        F.size("models_with_errors").cast("long").alias("n_models_flagging"),
+        F.size(F.map_keys("errors")).cast("long").alias("judges_in_map"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "counts_long": q_counts_long,
     "counts_rollup": q_counts_rollup,
@@ -416,6 +429,7 @@ QUERIES: dict[str, Query] = {
     "prompt_judge": q_prompt_judge,
     "resume_metrics": q_resume_metrics,
     "pending_null_key": q_pending_null_key,
+    "import_progress": q_import_progress,
 }
 
 
@@ -746,3 +760,4 @@ FROM p"""
 ORACLE_SQL["pending_null_key"] = f"""WITH {CORPUS}
 SELECT subset, split, encounter_id, CASE WHEN doc_id % 3 <> 0 THEN transcript_version END AS transcript_version
 FROM corpus c WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = c.doc_id)"""
+ORACLE_SQL["import_progress"] = ORACLE_SQL["flagged"] + " WHERE doc_id IN (SELECT doc_id FROM labels)"

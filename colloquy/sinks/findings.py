@@ -11,14 +11,14 @@ def append_verdicts(verdicts: DataFrame, path: str) -> None:
     """Add one run's verdicts to the verdict table, idempotently.
 
     Every run (or stream micro-batch) has its own ``run_id`` and lands in its own
-    (subset, run_id) partitions, written with dynamic partition overwrite: a
+    (subset, run_id, slice) partitions, written with dynamic partition overwrite: a
     retried run or a replayed micro-batch replaces exactly what it wrote before,
     an empty batch changes nothing, and other runs are never touched.
     """
     (
         verdicts.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("subset", "run_id")
+        .partitionBy("subset", "run_id", "slice")
         .parquet(path)
     )
 

@@ -15,20 +15,17 @@ batches is by the anti-join, not by streaming state.
 
 from __future__ import annotations
 
-import time
 import zlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from colloquy.config import DEFAULT_AUDIT, AuditConfig
 from colloquy.operators import audit as au
-from colloquy.plans.audit_job import AuditStore, prior_verdicts
+from colloquy.plans.audit_job import AuditStore, add_verdicts, prior_verdicts
 from colloquy.session import scratch_path
-from colloquy.sinks import findings as sk
 
 
 def audit_batch(
@@ -45,9 +42,7 @@ def audit_batch(
     prior = prior_verdicts(spark, store, epoch_id)
     todo = au.judge_todo(batch, prior, judges, key, max_attempts)
     wide = au.fan_out(au.build_prompts(todo), judges, skip_col="done_models")
-    out = au.verdicts_long(wide, key).withColumn("run_id", F.lit(epoch_id).cast("long"))
-    out = out.withColumn("asked_at", F.lit(int(time.time() * 1000)).cast("long"))
-    sk.append_verdicts(out, store.verdicts)
+    add_verdicts(au.verdicts_long(wide, key), store, epoch_id)
 
 
 def start_audit_stream(

@@ -340,3 +340,49 @@ def test_strict_responses(spark):
     d = spark.createDataFrame([(c,) for c in cases] + [(None,)], "r string")
     got = {r.r: (r.o, r.n, r.c) for r in d.select("r", vd.is_object("r").alias("o"), F.size(vd.parse_errors("r")).alias("n"), vd.contract_ok("r").alias("c")).collect()}
     assert got == {**cases, None: (False, 0, False)}
+
+
+def test_a_broken_run_keeps_its_finished_slices(spark, scratch):
+    log, flag = os.path.join(scratch, "calls"), os.path.join(scratch, "break")
+    cfg = td.TESTDATA_AUDIT.__class__(judges=("judge/count",), key=tuple(KEY))
+    corpus = td.corpus(spark, SF_SMALL).limit(60).cache()
+    n_first = corpus.where(F.pmod(F.xxhash64(*KEY), F.lit(4)) == 0).count()
+    counting = _counting_judge(log).answer
+
+    def answer(prompts: pd.Series) -> pd.Series:
+        if os.path.exists(flag) and os.path.exists(log) and len(open(log).readlines()) >= n_first and prompts.notna().any():
+            raise RuntimeError("interrupted")
+        return counting(prompts)
+
+    judges = [au.BatchJudge("judge/count", answer)]
+    open(flag, "w").close()
+    store = os.path.join(scratch, "store")
+    try:
+        run_audit_job(spark, corpus, judges, store, cfg, run_id=1, slices=4)
+        raise AssertionError("the run should have broken off")
+    except Exception as e:
+        assert "interrupted" in str(e)
+    kept = read_verdicts(spark, AuditStore(store)).count()
+    assert kept == n_first < corpus.count()
+    os.remove(flag)
+    _calls(log)
+    run_audit_job(spark, corpus, judges, store, cfg, run_id=2, slices=4)
+    assert _calls(log) == corpus.count() - kept
+
+
+def test_imported_state_is_not_asked_again(spark, scratch):
+    from colloquy.plans.audit_job import import_state
+
+    log = os.path.join(scratch, "calls")
+    judges = [_counting_judge(log)]
+    cfg = td.TESTDATA_AUDIT.__class__(judges=("judge/count",), key=tuple(KEY))
+    corpus = td.corpus(spark, SF_SMALL).limit(30).cache()
+    first = corpus.where("doc_id % 2 = 0")
+    found = au.findings(au.fan_out(au.build_prompts(first), judges), KEY).where("pmod(hash(encounter_id), 2) = 0").cache()
+    n_found = found.count()
+    _calls(log)
+    store = os.path.join(scratch, "store")
+    import_state(corpus, first.select("subset", "split", "encounter_id"), found, judges, store, cfg)
+    res = run_audit_job(spark, corpus, judges, store, cfg, run_id=1)
+    assert _calls(log) == corpus.count() - first.count()
+    assert res.findings.count() == n_found + corpus.count() - first.count()
