@@ -32,18 +32,21 @@ class AnnIndex:
     iterations: int = 8
     penalty: float = 0.3  # of the mean distance, for a cluster of twice the mean size
     neighbours: int = 16
-    width: int = 64  # centroids that the graph search keeps
+    width: int = 32  # centroids that the graph search keeps
     copies: int = 4  # lists per vector at most
-    boundary: float = 0.1  # a vector joins lists up to (1 + boundary) times its nearest centroid's distance
-    reach: float = 0.35  # a query reads lists up to (1 + reach) times its nearest centroid's distance (or the usual one, if larger)
+    boundary: float = 0.05  # a vector joins lists up to (1 + boundary) times its nearest centroid's distance
+    reach: float = 0.22  # a query reads lists up to (1 + reach) times its nearest centroid's distance (or the usual one, if larger)
     least: int = 10  # and at least lists that hold this many times k vectors
     block: int = 2_048
     seed: int = 5
 
 
 def fit_centroids(x: np.ndarray, k: int, p: AnnIndex) -> tuple[np.ndarray, float]:
-    """k-means whose assignment adds a penalty for large clusters, so that lists come out balanced; and the median distance to them."""
+    """k-means whose assignment adds a penalty for large clusters, so that lists come out balanced; and the median distance to them.
+
+    The lifted vectors lie on a sphere, and so do the centroids: means inside it would draw nearly everything."""
     rng = np.random.default_rng(p.seed)
+    norm = np.sqrt((x * x).sum(1).max())
     c = x[rng.permutation(len(x))[:k]].copy()
     size = np.full(k, len(x) / k)
     for _ in range(p.iterations):
@@ -56,6 +59,7 @@ def fit_centroids(x: np.ndarray, k: int, p: AnnIndex) -> tuple[np.ndarray, float
         empty = size == 0
         c[~empty] = total[~empty] / size[~empty, None]
         c[empty] = x[rng.integers(0, len(x), int(empty.sum()))]
+        c *= norm / np.maximum(np.sqrt((c * c).sum(1, keepdims=True)), 1e-12)
     d = (x * x).sum(1)[:, None] - 2 * x @ c.T + (c * c).sum(1)[None, :]
     return c, float(np.median(np.sqrt(np.maximum(d.min(1), 0))))
 
