@@ -61,6 +61,31 @@ def spanning(pairs: list[tuple[int, int]], labels: list[int]) -> list[tuple[int,
     return out
 
 
+def link_blocks(many: DataFrame, payload: Callable, compare: Callable) -> DataFrame:
+    """Links (a, b) between members (key, id, component, n) of large buckets of n members, at most one per member and pair of blocks.
+
+    A bucket is cut into blocks by a hash of the id, and every pair of its blocks is one task's group. See
+    ``link_buckets`` for ``payload`` and ``compare``.
+    """
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    many = many.select("key", "id", "component", blocks.alias("blocks")).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    wanted = many.select("id").distinct()
+    many = many.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    many = many.select("key", "id", "component", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).join(payload(wanted), "id")
+
+    def run(group: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        key, i, j = group
+        same = i == j
+        left = pdf[pdf.own == i].reset_index(drop=True)
+        right = left if same else pdf[pdf.own == j].reset_index(drop=True)
+        found = compare(key, left, right, same) if len(left) and len(right) else []
+        found = spanning([(p, len(left) + q) for p, q in found], [*left.component, *right.component])
+        ids = np.concatenate([left.id.to_numpy(np.int64), right.id.to_numpy(np.int64)])
+        return pd.DataFrame({"a": [max(ids[p], ids[q]) for p, q in found], "b": [min(ids[p], ids[q]) for p, q in found]}, dtype="int64")
+
+    return many.groupBy("key", "i", "j").applyInPandas(run, "a long, b long")
+
+
 def link_buckets(members: DataFrame, verify: Callable, payload: Callable, compare: Callable) -> DataFrame:
     """(id, component) of the items linked through shared buckets; an item without a link has no row.
 
@@ -92,23 +117,6 @@ def link_buckets(members: DataFrame, verify: Callable, payload: Callable, compar
     pairs = x.join(y, "key").where("component <> c").select(F.greatest("id", "other").alias("a"), F.least("id", "other").alias("b")).distinct()
     more = verify(pairs.join(first, ["a", "b"], "left_anti"))
 
-    many = open_.where(F.col("n") > SMALL_BUCKET)
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    many = many.select("key", "id", "component", blocks.alias("blocks")).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    many = many.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    many = many.select("key", "id", "component", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    many = many.join(payload(open_.where(F.col("n") > SMALL_BUCKET).select("id").distinct()), "id")
-
-    def run(group: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        key, i, j = group
-        same = i == j
-        left = pdf[pdf.own == i].reset_index(drop=True)
-        right = left if same else pdf[pdf.own == j].reset_index(drop=True)
-        found = compare(key, left, right, same) if len(left) and len(right) else []
-        found = spanning([(p, len(left) + q) for p, q in found], [*left.component, *right.component])
-        ids = np.concatenate([left.id.to_numpy(np.int64), right.id.to_numpy(np.int64)])
-        return pd.DataFrame({"a": [max(ids[p], ids[q]) for p, q in found], "b": [min(ids[p], ids[q]) for p, q in found]}, dtype="int64")
-
-    dense = many.groupBy("key", "i", "j").applyInPandas(run, "a long, b long")
+    dense = link_blocks(open_.where(F.col("n") > SMALL_BUCKET).select("key", "id", "component", "n"), payload, compare)
     more = stored(more.union(dense), "links")
     return comp if more.isEmpty() else components(links.union(more))
