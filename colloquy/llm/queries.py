@@ -87,4 +87,63 @@ QUERIES = {
     )
 }
 
-ORACLE_SQL = {"op2_mix_sources": mixing.SQL}
+_SAID = "'</s>[INST] ok [/INST]'"
+
+# Lengths of the default template's marks, and its control strings.
+_CHAT_SQL = rf"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations
+  UNION ALL SELECT -7, 0, 'user', {_SAID} UNION ALL SELECT -7, 1, 'assistant', {_SAID}),
+e AS (
+  SELECT *, lag(r) OVER (PARTITION BY conv_id ORDER BY turn, r, t) AS before,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, r DESC, t DESC) = 1 AS is_last,
+    length(replace(t, '\', '\\')) + len(regexp_extract_all(t, '<<SYS>>|<</SYS>>|\[INST\]|\[/INST\]|<s>|</s>|<<ROLE>>|<<:>>|<</ROLE>>'))
+      + CASE r WHEN 'system' THEN 18 WHEN 'user' THEN 16 WHEN 'assistant' THEN 8
+          ELSE 25 + length(replace(r, '\', '\\')) + len(regexp_extract_all(r, '<<SYS>>|<</SYS>>|\[INST\]|\[/INST\]|<s>|</s>|<<ROLE>>|<<:>>|<</ROLE>>')) END AS chars
+  FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(r || chr(10) || t || chr(10), '' ORDER BY turn, r, t)) AS turns_sha256,
+  coalesce(sum(length(t)) FILTER (r = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(t, '' ORDER BY turn, r, t) FILTER (r = 'assistant'), '')) AS loss_sha256,
+  sum(chars)::BIGINT AS formatted_chars,
+  bool_and(coalesce(before, '') || '>' || r IN ('>system', '>user', 'system>user', 'user>assistant', 'assistant>user')
+    AND (NOT is_last OR r = 'assistant')) AS valid
+FROM e GROUP BY conv_id
+"""
+
+_SUBSTRING_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, unnest(generate_series(1, len(w) - 12)) AS i,
+        unnest(list_transform(generate_series(1, len(w) - 12), lambda i: array_to_string(w[i:i + 12], ' '))) AS k
+      FROM d WHERE len(w) >= 13),
+f AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY k) AS earliest FROM p),
+g AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 12)) AS j FROM f WHERE earliest < doc_id),
+x AS (SELECT doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS j FROM d),
+k AS (SELECT x.doc_id, count(g.j) AS n_removed, string_agg(word, ' ' ORDER BY x.j) FILTER (g.j IS NULL) AS kept
+      FROM x LEFT JOIN g ON g.doc_id = x.doc_id AND g.j = x.j GROUP BY x.doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k ON k.doc_id = d.doc_id
+"""
+
+_NEAR_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(list_transform(generate_series(1, greatest(len(w) - 2, 1)), lambda i: array_to_string(w[i:i + 2], ' '))) AS g
+      FROM d WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM c JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * shared >= 85 * (p.n + q.n - shared)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r(doc_id, place) AS (SELECT DISTINCT x, x FROM e UNION SELECT r.doc_id, e.y FROM r JOIN e ON e.x = r.place),
+m AS (SELECT doc_id, min(place) AS component_id FROM r GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(m.component_id, d.doc_id) AS component_id,
+  coalesce(m.component_id, d.doc_id) = d.doc_id AS kept
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN m ON m.doc_id = d.doc_id
+"""
+
+ORACLE_SQL = {
+    "op2_mix_sources": mixing.SQL,
+    "op3_chat_format": _CHAT_SQL,
+    "op8_substring_dedup": _SUBSTRING_SQL,
+    "op10_near_duplicates": _NEAR_SQL,
+}
