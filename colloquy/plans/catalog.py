@@ -9,6 +9,8 @@ test plan. Aggregates and computed columns carry the same alias on both sides.
 from __future__ import annotations
 
 import hashlib
+import unicodedata
+import uuid
 from collections.abc import Callable
 
 import pandas as pd
@@ -18,13 +20,15 @@ from pyspark.sql import functions as F
 from colloquy.functions import names as nm
 from colloquy.functions import text as tx
 from colloquy.functions import verdict as vd
+from colloquy.functions.fold import CHAR_MAP
 from colloquy.functions.prompt import PROMPT_HEAD, PROMPT_TAIL, render_prompt
 from colloquy.operators import audit as au
 from colloquy.operators import corpus as co
 from colloquy.operators import counts as ct
 from colloquy.operators import metrics as me
 from colloquy.operators.resolve import flagged_ranges, number_within_group, resolve_ranges, with_line_counts
-from colloquy.sinks.layout import manifest
+from colloquy.session import scratch_path
+from colloquy.sinks.layout import manifest, write_corpus
 from colloquy.sources import tables as tb
 from colloquy.sources import testdata as td
 
@@ -385,6 +389,30 @@ def q_import_progress(spark, sf):
     )
 
 
+# Every mapped character, two ligatures and digits that only NFKC resolves, and removed and kept controls.
+INJECTED = "".join(CHAR_MAP) + "\ufb01\u2460\u00e9" + "\x01\x0b\x1f\t\x7f"
+
+
+def q_normalize_mapped(spark, sf):
+    """FN-1a, FN-1b, FN-1d: the fold on every document with the mapped and control characters put in."""
+    d = td.table(spark, sf, "documents").select("doc_id", F.concat(F.coalesce("text", F.lit("")), F.lit(INJECTED)).alias("text"))
+    return d.select("doc_id", tx.normalize_text("text").alias("text_ascii"))
+
+
+def q_read_cells(spark, sf):
+    """SNK-1, SRC-7, FIL-4: the corpus written by cell, and a selection read back from its partitions."""
+    root = scratch_path(spark, f"corpus-{uuid.uuid4().hex}")
+    write_corpus(td.corpus(spark, sf), root, ["encounter_id", "transcript_version", "dialogue"])
+    picked = co.select_subsets_splits(tb.read_corpus(spark, root), ["en", "fr"], ["train", "test2"])
+    return picked.select("encounter_id", "subset", "split", "transcript_version", F.sha2("dialogue", 256).alias("dialogue_sha256"))
+
+
+def q_counts_order(spark, sf):
+    """SRT-1 .. SRT-3: the place of every row of the sorted long counts."""
+    rows = ct.long_sorted(_long(spark, sf), _order(_long(spark, sf)))
+    return rows.select("subset", "split", "transcript_version", "count", (F.monotonically_increasing_id() + 1).alias("place"))
+
+
 QUERIES: dict[str, Query] = {
     "counts_long": q_counts_long,
     "counts_rollup": q_counts_rollup,
@@ -430,6 +458,9 @@ QUERIES: dict[str, Query] = {
     "resume_metrics": q_resume_metrics,
     "pending_null_key": q_pending_null_key,
     "import_progress": q_import_progress,
+    "normalize_mapped": q_normalize_mapped,
+    "read_cells": q_read_cells,
+    "counts_order": q_counts_order,
 }
 
 
@@ -761,3 +792,24 @@ ORACLE_SQL["pending_null_key"] = f"""WITH {CORPUS}
 SELECT subset, split, encounter_id, CASE WHEN doc_id % 3 <> 0 THEN transcript_version END AS transcript_version
 FROM corpus c WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = c.doc_id)"""
 ORACLE_SQL["import_progress"] = ORACLE_SQL["flagged"] + " WHERE doc_id IN (SELECT doc_id FROM labels)"
+
+
+def _mapped_sql(expr: str) -> str:
+    """The fold spelled out as replacements: NFKC of each injected character, then the map, then accents and controls."""
+    for c in INJECTED:
+        wide = "".join(CHAR_MAP.get(x, x) for x in unicodedata.normalize("NFKC", c))
+        if wide != c:
+            expr = f"replace({expr}, {_q(c)}, {_q(wide)})"
+    for c in ("\x01", "\x0b", "\x1f"):
+        expr = f"replace({expr}, chr({ord(c)}), '')"
+    return f"strip_accents(replace({expr}, '\u00df', ''))"
+
+
+ORACLE_SQL["normalize_mapped"] = f"SELECT doc_id, {_mapped_sql("coalesce(text, '') || " + " || ".join(f'chr({ord(c)})' for c in INJECTED))} AS text_ascii FROM documents"
+ORACLE_SQL["read_cells"] = f"""WITH {CORPUS}
+SELECT encounter_id, subset, split, transcript_version, sha256(dialogue) AS dialogue_sha256
+FROM corpus WHERE subset IN ('en', 'fr') AND split IN ('train', 'test2')"""
+ORACLE_SQL["counts_order"] = f"""WITH {CORPUS}, {LONG}
+SELECT subset, split, tv AS transcript_version, n AS "count",
+       row_number() OVER (ORDER BY subset, CASE tv WHEN 'asr' THEN 1 WHEN 'asrcorr' THEN 2 WHEN 'humantrans' THEN 3 ELSE 4 END, tv, split) AS place
+FROM long"""

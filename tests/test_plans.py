@@ -27,7 +27,7 @@ def test_no_pairwise_joins_and_no_row_udfs(plans):
 
 def test_python_only_where_text_is_folded(plans):
     with_python = {n for n, p in plans.items() if "ArrowEvalPython" in p}
-    assert with_python == {"normalize_ascii", "normalize_ascii_turns", "union_sources", "prompt_judge"}
+    assert with_python == {"normalize_ascii", "normalize_ascii_turns", "union_sources", "prompt_judge", "normalize_mapped"}
 
 
 @pytest.mark.parametrize("name", ["dedup_keep_first", "union_sources", "sample_per_cell"])
