@@ -4,7 +4,7 @@ Centroids come from size-penalised k-means on a bounded sample; a neighbour grap
 the centroids near a vector. Every vector goes to the posting list of its nearest centroid and, near
 a boundary, to those of other centroids almost as near (unless a chosen one is nearer to them). A query reads
 the lists whose centroids are within a ratio of the nearest one's distance, and every vector read is
-scored exactly.
+scored exactly; a list returns those alone that reach the score of the k-th nearest in the sample.
 
 Equal vectors are one entry that carries its smallest ids, so a vector with very many copies
 costs one comparison. Lists and the queries that read them are cut into blocks of bounded size.
@@ -186,17 +186,26 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, p: AnnIndex = Ann
     graph = CentroidGraph(*fit_centroids(lift(sample), lists, p), p) if len(sample) else None
     shared = vectors.sparkSession.sparkContext.broadcast(graph)  # most_lists centroids at most
 
+    seen = vectors.sparkSession.sparkContext.broadcast(sample)
+
+    def floor(q: np.ndarray) -> np.ndarray:
+        """A score that k + 1 vectors of the sample reach: what scores less is not among the k nearest."""
+        if len(seen.value) <= k:
+            return np.full(len(q), -np.inf)
+        return np.concatenate([np.partition(q[i : i + 64] @ seen.value.T, -k - 1, axis=1)[:, -k - 1] for i in range(0, len(q), 64)]) - 1e-9
+
     def spread(rows: DataFrame, choose, flat: bool) -> DataFrame:
         def run(batches):
             for pdf in batches:
                 for i in range(0, len(pdf), 1024):
                     part = pdf.iloc[i : i + 1024]
                     x = np.array(part.v.tolist(), np.float64)
+                    least = floor(x) if flat else 0.0
                     x = np.concatenate([x, np.zeros((len(x), 1))], 1) if flat else lift(x)
                     found = choose(x, shared.value, p)
-                    yield pd.DataFrame({"list": found, "rep": part.rep.to_numpy(), "v": part.v.to_numpy()}).explode("list").astype({"list": "int64"})
+                    yield pd.DataFrame({"list": found, "rep": part.rep.to_numpy(), "v": part.v.to_numpy(), "least": least}).explode("list").astype({"list": "int64"})
 
-        return rows.select("rep", "v").mapInPandas(run, "list long, rep long, v array<double>")
+        return rows.select("rep", "v").mapInPandas(run, "list long, rep long, v array<double>, least double")
 
     posts = stored(spread(classes, choose_lists, False), "posts")
     sizes = np.zeros(lists, np.int64)
@@ -208,7 +217,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, p: AnnIndex = Ann
     own = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = posts.join(blocks, "list").select("list", own("pb").alias("i"), every("qb").alias("j"), "rep", "v")
-    right = probes.join(blocks, "list").select("list", every("pb").alias("i"), own("qb").alias("j"), "rep", "v")
+    right = probes.join(blocks, "list").select("list", every("pb").alias("i"), own("qb").alias("j"), "rep", "v", "least")
 
     def score(entries: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
         if not len(entries) or not len(asks):
@@ -216,9 +225,10 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, p: AnnIndex = Ann
         entries = entries.sort_values("rep", kind="stable")
         x, rep = np.array(entries.v.tolist(), np.float64), entries.rep.to_numpy()
         out = []
-        for ask, q in zip(asks.rep, asks.v, strict=True):
+        for ask, q, least in zip(asks.rep, asks.v, asks.least, strict=True):
             s = (x * np.asarray(q)).sum(1)
-            best = np.argsort(-s, kind="stable")[: k + 1]
+            near = np.flatnonzero(s >= least)
+            best = near[np.argsort(-s[near], kind="stable")[: k + 1]]
             out.append(pd.DataFrame({"query": ask, "rep": rep[best], "score": s[best]}))
         return pd.concat(out)
 
