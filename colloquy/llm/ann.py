@@ -179,20 +179,30 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, p: AnnIndex = Ann
     queries = stored(queries.join(classes.select("h", "v", "rep"), ["h", "v"]).select(F.col("vec_id").alias("query_id"), "rep"), "queries")
     asked = classes.join(queries.select("rep").distinct(), "rep", "left_semi")
 
-    drawn = classes.orderBy(F.xxhash64("rep", F.lit(p.seed)), "rep").select("v").limit(p.sample).collect()
+    drawn = classes.orderBy(F.xxhash64("rep", F.lit(p.seed)), "rep").select("rep", "v").limit(p.sample).collect()
     sample = np.array([r.v for r in drawn], np.float64).reshape(len(drawn), dim)
     lift = lambda x: np.concatenate([x, np.sqrt(np.maximum(top - (x * x).sum(1), 0))[:, None]], 1)  # noqa: E731  largest product = smallest distance
     lists = max(1, min(p.most_lists, len(sample), round(n / p.list_size)))
     graph = CentroidGraph(*fit_centroids(lift(sample), lists, p), p) if len(sample) else None
     shared = vectors.sparkSession.sparkContext.broadcast(graph)  # most_lists centroids at most
 
-    seen = vectors.sparkSession.sparkContext.broadcast(sample)
+    seen = vectors.sparkSession.sparkContext.broadcast((np.array([r.rep for r in drawn], np.int64), sample))
 
     def floor(q: np.ndarray) -> np.ndarray:
         """A score that k + 1 vectors of the sample reach: what scores less is not among the k nearest."""
-        if len(seen.value) <= k:
+        _, x = seen.value
+        if len(x) <= k:
             return np.full(len(q), -np.inf)
-        return np.concatenate([np.partition(q[i : i + 64] @ seen.value.T, -k - 1, axis=1)[:, -k - 1] for i in range(0, len(q), 64)]) - 1e-9
+        return np.concatenate([np.partition(q[i : i + 64] @ x.T, -k - 1, axis=1)[:, -k - 1] for i in range(0, len(q), 64)]) - 1e-9
+
+    def in_sample(batches):
+        """The nearest of the sample are found already; they set the floor, so they stay candidates whatever lists are read."""
+        rep, x = seen.value
+        for pdf in batches:
+            for ask, q in zip(pdf.rep, pdf.v, strict=True):
+                s = x @ np.asarray(q)
+                near = np.argpartition(-s, k)[: k + 1] if len(s) > k + 1 else np.arange(len(s))
+                yield pd.DataFrame({"query": ask, "rep": rep[near], "score": (x[near] * np.asarray(q)).sum(1)})
 
     def spread(rows: DataFrame, choose, flat: bool) -> DataFrame:
         def run(batches):
@@ -233,6 +243,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, p: AnnIndex = Ann
         return pd.concat(out)
 
     hits = left.groupBy("list", "i", "j").cogroup(right.groupBy("list", "i", "j")).applyInPandas(score, "query long, rep long, score double")
+    hits = hits.union(asked.select("rep", "v").mapInPandas(in_sample, "query long, rep long, score double"))
     hits = hits.groupBy("query", "rep").agg(F.max("score").alias("score"))
     best = Window.partitionBy("query").orderBy(F.desc("score"), "rep")
     hits = hits.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).drop("r")
