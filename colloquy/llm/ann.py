@@ -4,7 +4,8 @@ Centroids come from size-penalised k-means on a bounded sample; a neighbour grap
 the centroids near a vector. Every vector goes to the posting list of its nearest centroid and, near
 a boundary, to those of other centroids almost as near (unless a chosen one is nearer to them). A query reads
 the lists whose centroids are within a ratio of the nearest one's distance, and every vector read is
-scored exactly; a list returns those alone that reach the score of the k-th nearest in the sample.
+scored exactly; a list returns those alone that reach the score of the k-th nearest in the sample. A query whose lists
+gave too few, or left out a vector of the sample that belongs among those they gave, reads further lists.
 
 Equal vectors are one entry that carries its smallest ids, so a vector with very many copies
 costs one comparison. Lists and the queries that read them are cut into blocks of bounded size.
@@ -13,6 +14,7 @@ costs one comparison. Lists and the queries that read them are cut into blocks o
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -129,23 +131,24 @@ def choose_lists(x: np.ndarray, graph: CentroidGraph, p: AnnIndex) -> list[list[
     return out
 
 
-def probe_lists(x: np.ndarray, graph: CentroidGraph, p: AnnIndex, sizes: np.ndarray, k: int) -> list[list[int]]:
+def probe_lists(x: np.ndarray, graph: CentroidGraph, p: AnnIndex, sizes: np.ndarray, k: int, times: int = 1) -> list[list[int]]:
     """The lists that each query reads: all within the reach ratio of the distance to its nearest centroid, nearest first.
 
     A query on top of a centroid takes the usual distance of a vector to its centroid instead. Where the
-    graph search's result ends within reach, or its lists hold too few vectors, every centroid is looked at.
+    graph search's result ends within reach, or its lists hold too few vectors, every centroid is looked at; so it is
+    for ``times`` as many lists.
     """
     ids, dist = graph.search(x)
     out = []
     for v, row, d in zip(x, ids, dist, strict=True):
         limit = (1 + p.reach) * max(d[0], graph.usual)
         row, d = row[row >= 0], d[row >= 0]
-        if (d[-1] <= limit or sizes[row].sum() < p.least * k) and len(d) < len(graph.c):
+        if (times > 1 or d[-1] <= limit or sizes[row].sum() < p.least * k) and len(d) < len(graph.c):
             d = np.sqrt(np.maximum(((graph.c - v) ** 2).sum(1), 0))
             row = np.argsort(d, kind="stable")
             d = d[row]
         enough = np.searchsorted(np.cumsum(sizes[row]), p.least * k) + 1
-        out.append(row[: max(enough, int(np.searchsorted(d, limit, "right")))].tolist())
+        out.append(row[: times * max(enough, int(np.searchsorted(d, limit, "right")))].tolist())
     return out
 
 
@@ -196,13 +199,15 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, p: AnnIndex = Ann
         return np.concatenate([np.partition(q[i : i + 64] @ x.T, -k - 1, axis=1)[:, -k - 1] for i in range(0, len(q), 64)]) - 1e-9
 
     def in_sample(batches):
-        """The nearest of the sample are found already; they set the floor, so they stay candidates whatever lists are read."""
+        """The nearest of the sample: what the lists' hits are held against, never hits themselves."""
         rep, x = seen.value
         for pdf in batches:
-            for ask, q in zip(pdf.rep, pdf.v, strict=True):
-                s = x @ np.asarray(q)
+            out = []
+            for q in pdf.v:
+                s = (x * np.asarray(q)).sum(1)
                 near = np.argpartition(-s, k)[: k + 1] if len(s) > k + 1 else np.arange(len(s))
-                yield pd.DataFrame({"query": ask, "rep": rep[near], "score": (x[near] * np.asarray(q)).sum(1)})
+                out.append([{"rep": int(rep[i]), "score": float(s[i])} for i in near])
+            yield pd.DataFrame({"query": pdf.rep.to_numpy(), "known": out})
 
     def spread(rows: DataFrame, choose, flat: bool) -> DataFrame:
         def run(batches):
@@ -221,14 +226,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, p: AnnIndex = Ann
     sizes = np.zeros(lists, np.int64)
     for r in posts.groupBy("list").count().collect():  # most_lists rows at most
         sizes[r["list"]] = r["count"]
-    probes = stored(spread(asked, lambda x, g, p: probe_lists(x, g, p, sizes, k), True), "probes")
     count = lambda d, name: d.groupBy("list").agg(F.ceil(F.count("*") / p.block).cast("int").alias(name))
-    blocks = count(posts, "pb").join(count(probes, "qb"), "list")  # a row per list
     own = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = posts.join(blocks, "list").select("list", own("pb").alias("i"), every("qb").alias("j"), "rep", "v")
-    right = probes.join(blocks, "list").select("list", every("pb").alias("i"), own("qb").alias("j"), "rep", "v", "least")
-
     def score(entries: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
         if not len(entries) or not len(asks):
             return pd.DataFrame({"query": [], "rep": [], "score": []})
@@ -242,11 +242,31 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, p: AnnIndex = Ann
             out.append(pd.DataFrame({"query": ask, "rep": rep[best], "score": s[best]}))
         return pd.concat(out)
 
-    hits = left.groupBy("list", "i", "j").cogroup(right.groupBy("list", "i", "j")).applyInPandas(score, "query long, rep long, score double")
-    hits = hits.union(asked.select("rep", "v").mapInPandas(in_sample, "query long, rep long, score double"))
-    hits = hits.groupBy("query", "rep").agg(F.max("score").alias("score"))
     best = Window.partitionBy("query").orderBy(F.desc("score"), "rep")
-    hits = hits.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).drop("r")
+
+    def read_lists(asked: DataFrame, times: int) -> DataFrame:
+        """(query, rep, score): the k + 1 best entries of the lists that each query reads."""
+        probes = stored(spread(asked, partial(probe_lists, sizes=sizes, k=k, times=times), True), "probes")
+        blocks = count(posts, "pb").join(count(probes, "qb"), "list")  # a row per list
+        left = posts.join(blocks, "list").select("list", own("pb").alias("i"), every("qb").alias("j"), "rep", "v")
+        right = probes.join(blocks, "list").select("list", every("pb").alias("i"), own("qb").alias("j"), "rep", "v", "least")
+        hits = left.groupBy("list", "i", "j").cogroup(right.groupBy("list", "i", "j")).applyInPandas(score, "query long, rep long, score double")
+        hits = hits.groupBy("query", "rep").agg(F.max("score").alias("score"))
+        return stored(hits.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).drop("r"), "hits")
+
+    known = stored(asked.select("rep", "v").mapInPandas(in_sample, "query long, known array<struct<rep:long,score:double>>"), "known")
+    need = min(k + 1, len(sample))  # the sample is all there is, or holds as many
+    hits, times = read_lists(asked, 1), 1
+    while times < lists:
+        found = hits.groupBy("query").agg(F.count("*").alias("n"), F.min("score").alias("low"), F.collect_list("rep").alias("reps"))
+        left_out = F.exists("known", lambda x: (x["score"] > F.col("low") + 1e-9) & ~F.array_contains("reps", x["rep"]))
+        short = known.join(found, "query", "left").where((F.coalesce("n", F.lit(0)) < need) | left_out).select("query")
+        short = stored(short, "short")
+        if short.isEmpty():
+            break
+        times *= 4
+        more = read_lists(asked.join(short.withColumnRenamed("query", "rep"), "rep", "left_semi"), times)
+        hits = stored(hits.join(short, "query", "left_anti").union(more), "hits")
     hits = hits.join(classes.select("rep", "ids"), "rep").select("query", "score", F.explode("ids").alias("vec_id"))
     near = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     hits = hits.withColumn("r", F.row_number().over(near)).where(F.col("r") <= k + 1)

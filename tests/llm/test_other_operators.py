@@ -151,6 +151,24 @@ def test_recall_order_and_copies(spark):
     assert ann.nearest(d.where("false"), F.lit(True)).count() == 0
 
 
+def test_recall_beyond_the_sample_with_narrow_lists(spark):
+    """Lists that miss are noticed, and further ones read, on a table four times the sample."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(2400, 12))
+    d = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    p = ann.AnnIndex(sample=600, list_size=40, copies=1, reach=0.0, least=1)
+    got = collections.defaultdict(set)
+    for r in ann.nearest(d, F.col("vec_id") % 20 == 0, 20, p).collect():
+        got[r.query_id].add(r.vec_id)
+    hits = 0
+    for q, found in got.items():
+        s = x @ x[q]
+        s[q] = -np.inf
+        assert len(found) == 20
+        hits += len(found & set(np.argsort(-s)[:20].tolist()))
+    assert len(got) == 120 and hits >= 0.9 * 20 * len(got), hits / (20 * len(got))
+
+
 # -- decontamination ------------------------------------------------------
 def test_contaminated_documents_equal_brute_force(spark, small_docs, no_docs):
     rng = random.Random(9)
