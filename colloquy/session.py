@@ -64,12 +64,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}"
 
 
-def recommended_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 1 << 30) -> dict[str, str]:
+def recommended_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings sized to the input, for a cluster session (pass them to the builder or spark-submit).
 
-    Scan splits and shuffle partitions hold about ``target_partition_bytes`` each, so their product,
-    the number of shuffle blocks the driver tracks, stays bounded; a partition is read as a stream
-    and sorts spill. Never fewer partitions than 3 waves of the cluster's cores; AQE then coalesces
+    Scan splits and shuffle partitions hold about ``target_partition_bytes`` each, which a task of a
+    3 GB executor sorts without spilling. Never fewer partitions than 3 waves of the cluster's cores; AQE then coalesces
     small partitions and splits skewed ones at runtime.
     """
     partitions = max(3 * total_cores, -(-input_bytes // target_partition_bytes))

@@ -211,7 +211,9 @@ def test_recommended_conf_sizes_partitions():
     from colloquy.session import recommended_conf
 
     big = recommended_conf(100 * 10**12, 8000)
-    assert int(big["spark.sql.shuffle.partitions"]) == -(-100 * 10**12 // (256 << 20))
+    assert int(big["spark.sql.shuffle.partitions"]) == -(-100 * 10**12 // int(big["spark.sql.files.maxPartitionBytes"]))
+    assert int(big["spark.sql.adaptive.advisoryPartitionSizeInBytes"]) == 256 << 20
+    assert int(recommended_conf(100 * 10**12, 8000, 1 << 30)["spark.sql.shuffle.partitions"]) == -(-100 * 10**12 // (1 << 30))
     small = recommended_conf(10 << 20, 64)
     assert int(small["spark.sql.shuffle.partitions"]) == 3 * 64
 
