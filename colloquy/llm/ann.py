@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from colloquy.llm.common import stored
+from colloquy.llm.common import Shared, stored
 
 
 @dataclass(frozen=True)
@@ -187,7 +187,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, p: AnnIndex = Ann
     lift = lambda x: np.concatenate([x, np.sqrt(np.maximum(top - (x * x).sum(1), 0))[:, None]], 1)  # noqa: E731  largest product = smallest distance
     lists = max(1, min(p.most_lists, len(sample), round(n / p.list_size)))
     graph = CentroidGraph(*fit_centroids(lift(sample), lists, p), p) if len(sample) else None
-    shared = vectors.sparkSession.sparkContext.broadcast(graph)  # most_lists centroids at most
+    shared = Shared(vectors.sparkSession, graph)  # most_lists centroids at most
 
     seen = vectors.sparkSession.sparkContext.broadcast((np.array([r.rep for r in drawn], np.int64), sample))
 

@@ -12,6 +12,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +36,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Shared:
+    """A value broadcast as bytes that carry this package's classes by value, so that executors need no copy of it.
+
+    Spark pickles a broadcast value by reference to its class's module; here it is pickled with the functions' pickler,
+    and unpacked once per worker.
+    """
+
+    def __init__(self, spark: SparkSession, value):
+        self._bytes = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self):
+        if not hasattr(self._bytes, "unpacked"):
+            self._bytes.unpacked = cloudpickle.loads(self._bytes.value)
+        return self._bytes.unpacked
+
+
 LOOKUP_ROWS = 1_000_000  # ids of one long each (16 MB in memory) that a lookup broadcasts; beyond, it is a shuffle join
 
 

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import ann, chat, decontaminate, htmltext, linededup, mixing, neardup, quality, substring, tokens
+from colloquy.llm import ann, chat, decontaminate, htmltext, linededup, mixing, neardup, quality, substring, tokens, whitening
 from colloquy.llm.common import read
 
 
@@ -71,6 +71,11 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "documents"), neardup.NearDup(shingle_words=3, percent=85))
 
 
+def op11_whitened_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the 16 largest components of the distinct vectors' covariance, scaled to unit variance."""
+    return whitening.whiten(read(spark, sf_dir, "embeddings"), 16)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -84,6 +89,7 @@ QUERIES = {
         op8_substring_dedup,
         op9_html_text,
         op10_near_duplicates,
+        op11_whitened_vectors,
     )
 }
 

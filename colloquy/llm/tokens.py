@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colloquy.llm.common import record_batches
+from colloquy.llm.common import Shared, record_batches
 
 MEMO_WORDS = 200_000  # words a worker remembers; it forgets them all when full, counts do not depend on it
 
@@ -92,7 +92,7 @@ def token_counts(docs: DataFrame, pieces: list[str], start: str = "▁") -> Data
     Null and empty texts have no words. Repeated rows count alike; extra columns are ignored. The automaton is
     built once and broadcast: its size is the vocabulary's, not the corpus's.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(PieceCounter(pieces, start))
+    shared = Shared(docs.sparkSession, PieceCounter(pieces, start))
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_tokens", pa.int64()), ("n_unknown", pa.int64())])
 
     def run(batches):
