@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import ann, chat, decontaminate, htmltext, linededup, mixing, neardup, quality, substring, tokens, whitening
+from colloquy.llm import ann, chat, decontaminate, htmltext, linededup, mixing, neardup, quality, substring, tokens, trie, whitening
 from colloquy.llm.common import read
 
 
@@ -76,6 +76,11 @@ def op11_whitened_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(read(spark, sf_dir, "embeddings"), 16)
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct beginning of the rebuilt conversations, with what its subtree shares."""
+    return trie.prefix_trie(read(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -90,6 +95,7 @@ QUERIES = {
         op9_html_text,
         op10_near_duplicates,
         op11_whitened_vectors,
+        op12_prefix_trie,
     )
 }
 
@@ -152,4 +158,5 @@ ORACLE_SQL = {
     "op3_chat_format": _CHAT_SQL,
     "op8_substring_dedup": _SUBSTRING_SQL,
     "op10_near_duplicates": _NEAR_SQL,
+    "op12_prefix_trie": trie.SQL,
 }
