@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import ann, chat, decontaminate, htmltext, linededup, mixing, neardup, quality, substring, tokens, trie, whitening
+from colloquy.llm import ann, bytededup, chat, decontaminate, htmltext, linededup, mixing, neardup, quality, substring, tokens, trie, whitening
 from colloquy.llm.common import read
 
 
@@ -81,6 +81,12 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_trie(read(spark, sf_dir, "conversations"))
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 100-byte strings that start earlier in the corpus."""
+    out = bytededup.remove_repeated_bytes(read(spark, sf_dir, "documents"), 100)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -96,6 +102,7 @@ QUERIES = {
         op10_near_duplicates,
         op11_whitened_vectors,
         op12_prefix_trie,
+        op13_suffix_dedup,
     )
 }
 
@@ -159,4 +166,5 @@ ORACLE_SQL = {
     "op8_substring_dedup": _SUBSTRING_SQL,
     "op10_near_duplicates": _NEAR_SQL,
     "op12_prefix_trie": trie.SQL,
+    "op13_suffix_dedup": bytededup.SQL,
 }
