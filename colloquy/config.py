@@ -79,6 +79,9 @@ class BuildOptions:
     # "drop": rows of unknown subsets are skipped (basic build, ablation files).
     on_unknown_subset: str = "error"
     sample_size: int = 5
+    # CSV rows with too few or too many fields or broken quotes: "keep" what they hold (missing fields are ''),
+    # "drop" them, or "error". The rejects tables list them in any case.
+    on_bad_row: str = "keep"
 
 
 DEFAULT_VOCAB = Vocabulary()
