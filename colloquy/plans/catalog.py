@@ -718,38 +718,29 @@ SELECT subset, count(*) AS notes_with_errors,
        count(*) FILTER (WHERE k * 2 > 3) AS majority_consensus_errors
 FROM f GROUP BY subset""",
     "metrics_cube": f"""WITH {CORPUS}, {LABELLED}, {FLAGS},
-fa AS (
-  SELECT CASE GROUPING(subset) * 4 + GROUPING(split) * 2 + GROUPING(transcript_version)
-           WHEN 7 THEN 'summary' WHEN 3 THEN 'by_subset' WHEN 5 THEN 'by_split' WHEN 1 THEN 'by_subset_and_split'
-           WHEN 6 THEN 'by_transcript_version' ELSE 'by_subset_and_transcript_version' END AS grouping,
-         subset, split, transcript_version,
-         count(*) AS nwe, count(*) FILTER (WHERE k = 3) AS unan, count(*) FILTER (WHERE k * 2 > 3) AS maj
-  FROM f
-  GROUP BY GROUPING SETS ((), (subset), (split), (subset, split), (transcript_version), (subset, transcript_version))),
-t AS (SELECT subset, split, count(*) AS n FROM corpus GROUP BY ALL),
-sp AS (SELECT s.subset, v.split FROM (SELECT DISTINCT subset FROM t) s
-       CROSS JOIN (VALUES ('train'), ('valid'), ('test1'), ('test2'), ('test3')) v(split)),
-ctt AS (SELECT sp.subset, sp.split, coalesce(t.n, 0) AS n FROM sp LEFT JOIN t USING (subset, split)),
-ta AS (
-  SELECT CASE GROUPING(subset) * 2 + GROUPING(split) WHEN 3 THEN 'summary' WHEN 1 THEN 'by_subset'
-           WHEN 2 THEN 'by_split' ELSE 'by_subset_and_split' END AS grouping,
-         subset, split, sum(n) AS total
-  FROM ctt GROUP BY GROUPING SETS ((), (subset), (split), (subset, split))),
-j AS (
-  SELECT ta.grouping, ta.subset, ta.split, ta.total, coalesce(fa.nwe, 0) AS nwe, coalesce(fa.unan, 0) AS unan,
-         coalesce(fa.maj, 0) AS maj
-  FROM ta LEFT JOIN fa ON fa.grouping = ta.grouping AND fa.subset IS NOT DISTINCT FROM ta.subset
-                       AND fa.split IS NOT DISTINCT FROM ta.split)
+cells AS MATERIALIZED (
+  SELECT subset, split, transcript_version, count(*) AS nwe, count(*) FILTER (WHERE k = 3) AS unan, count(*) FILTER (WHERE k * 2 > 3) AS maj
+  FROM f GROUP BY subset, split, transcript_version),
+tot AS MATERIALIZED (SELECT subset, split, count(*) AS n FROM corpus GROUP BY subset, split),
+r AS MATERIALIZED (
+  SELECT subset, split, n AS total, 0 AS nwe, 0 AS unan, 0 AS maj FROM tot
+  UNION ALL SELECT subset, split, 0, nwe, unan, maj FROM cells
+  UNION ALL SELECT DISTINCT subset, unnest(['train', 'valid', 'test1', 'test2', 'test3']), 0, 0, 0, 0 FROM tot),
+g AS MATERIALIZED (
+  SELECT 'summary' AS grouping, NULL AS subset, NULL AS split, sum(total) AS total, sum(nwe) AS nwe, sum(unan) AS unan, sum(maj) AS maj FROM r
+  UNION ALL SELECT 'by_subset', subset, NULL, sum(total), sum(nwe), sum(unan), sum(maj) FROM r GROUP BY subset
+  UNION ALL SELECT 'by_split', NULL, split, sum(total), sum(nwe), sum(unan), sum(maj) FROM r GROUP BY split
+  UNION ALL SELECT 'by_subset_and_split', subset, split, sum(total), sum(nwe), sum(unan), sum(maj) FROM r GROUP BY subset, split)
 SELECT grouping, subset, split, CAST(NULL AS VARCHAR) AS transcript_version, CAST(total AS BIGINT) AS total_notes,
        CAST(nwe AS BIGINT) AS notes_with_errors,
        CASE WHEN grouping = 'summary' THEN NULL ELSE {_pct("nwe", "total")} END AS error_percentage,
        CASE WHEN grouping = 'summary' THEN NULL ELSE CAST(unan AS BIGINT) END AS all_models_found_errors,
        CAST(maj AS BIGINT) AS majority_consensus_errors
-FROM j
-UNION ALL
-SELECT grouping, subset, NULL, transcript_version, NULL, CAST(nwe AS BIGINT), NULL, CAST(unan AS BIGINT),
-       CAST(maj AS BIGINT)
-FROM fa WHERE grouping IN ('by_transcript_version', 'by_subset_and_transcript_version')""",
+FROM g
+UNION ALL SELECT 'by_transcript_version', NULL, NULL, transcript_version, NULL, CAST(sum(nwe) AS BIGINT), NULL, CAST(sum(unan) AS BIGINT),
+       CAST(sum(maj) AS BIGINT) FROM cells GROUP BY transcript_version
+UNION ALL SELECT 'by_subset_and_transcript_version', subset, NULL, transcript_version, NULL, CAST(sum(nwe) AS BIGINT), NULL, CAST(sum(unan) AS BIGINT),
+       CAST(sum(maj) AS BIGINT) FROM cells GROUP BY subset, transcript_version""",
     "pending": f"""WITH {CORPUS}
 SELECT subset, split, encounter_id, transcript_version FROM corpus c
 WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = c.doc_id)""",

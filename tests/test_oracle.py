@@ -5,8 +5,8 @@ import pytest
 import __spark_entry__ as entry
 from colloquy.plans.oracle import compare, duckdb_with_views
 
-from colloquy.plans.catalog import ORACLE_SQL as ORACLES
-from colloquy.plans.catalog import QUERIES
+from colloquy.plans.registry import ORACLE_SQL as ORACLES
+from colloquy.plans.registry import QUERIES
 
 from conftest import SF_SMALL
 
