@@ -224,8 +224,7 @@ def remove_repeated_bytes(docs: DataFrame, size: int = 100) -> DataFrame:
     rows = rows.select("doc_id", (F.xxhash64("text") if twice else F.lit(0).cast("long")).alias("copy"), "text")
     texts = rows.where(f"doc_id is not null and octet_length(text) >= {size}")
     texts = texts.dropDuplicates(["doc_id", "copy"]) if twice else texts
-    marks = stored(repeated_windows(texts, size), "marks")
-    lists = marks.groupBy("doc_id", "copy").agg(F.collect_list("low").alias("low"), F.collect_list("high").alias("high"))
+    lists = repeated_windows(texts, size).groupBy("doc_id", "copy").agg(F.collect_list("low").alias("low"), F.collect_list("high").alias("high"))
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
 
     def run(batches):
