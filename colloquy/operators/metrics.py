@@ -36,6 +36,15 @@ _GID = {
     2: "by_subset_and_transcript_version",
 }
 
+_SETS = [
+    [],
+    ["subset"],
+    ["split"],
+    ["subset", "split"],
+    ["transcript_version"],
+    ["subset", "transcript_version"],
+]
+
 METRIC_COLUMNS = (
     "grouping",
     "subset",
@@ -63,22 +72,31 @@ def metrics(
     totals or percentages (quirk Q14); the summary has no unanimity count.
     """
     n_flag = F.size("models_with_errors")
-    sets = [
-        [],
-        ["subset"],
-        ["split"],
-        ["subset", "split"],
-        ["transcript_version"],
-        ["subset", "transcript_version"],
-    ]
     # Grouping sets straight over the findings: each row is expanded six ways and
     # partially aggregated in the map task, so one small shuffle yields all groupings.
-    agg = findings.groupingSets(sets, "subset", "split", "transcript_version").agg(
+    agg = findings.groupingSets(_SETS, "subset", "split", "transcript_version").agg(
         F.count(F.lit(1)).cast("long").alias("notes_with_errors"),
         F.count_if(vd.unanimous("models_with_errors", n_models)).cast("long").alias("all_models_found_errors"),
         F.count_if(vd.majority(n_flag, n_models)).cast("long").alias("majority_consensus_errors"),
         F.grouping_id().alias("_gid"),
     )
+    return _report(agg, totals, splits)
+
+
+def metrics_of_cells(cells: DataFrame, splits: Sequence[str] = SPLITS) -> DataFrame:
+    """The same table from counts per (subset, split, transcript_version): notes, with_errors, unanimous, majority."""
+    agg = cells.where("with_errors > 0").groupingSets(_SETS, "subset", "split", "transcript_version").agg(
+        F.sum("with_errors").cast("long").alias("notes_with_errors"),
+        F.sum("unanimous").cast("long").alias("all_models_found_errors"),
+        F.sum("majority").cast("long").alias("majority_consensus_errors"),
+        F.grouping_id().alias("_gid"),
+    )
+    totals = cells.where("notes > 0").groupBy("subset", "split").agg(F.sum("notes").cast("long").alias("n_rows"))
+    return _report(agg, totals, splits)
+
+
+def _report(agg: DataFrame, totals: DataFrame, splits: Sequence[str]) -> DataFrame:
+    """Aggregated findings (with ``_gid``) and totals per cell as the long metrics table."""
     gname = F.create_map(*[F.lit(x) for kv in _GID.items() for x in kv])
     agg = agg.withColumn("grouping", F.element_at(gname, F.col("_gid").cast("int"))).drop("_gid")
 

@@ -51,7 +51,11 @@ def with_line_counts(
 
 def resolve_ranges(ranges: DataFrame, corpus: DataFrame, key: Sequence[str] = DEFAULT_AUDIT.key) -> DataFrame:
     """JOIN-7: the transcript lines inside every flagged range, with their 1-based numbers."""
-    j = key_join(ranges, corpus.select(*key, "dialogue"), key)
+    return covered_lines(key_join(ranges, corpus.select(*key, "dialogue"), key), key)
+
+
+def covered_lines(j: DataFrame, key: Sequence[str] = DEFAULT_AUDIT.key) -> DataFrame:
+    """The lines inside every range, from ranges that have their transcript's ``dialogue`` beside them."""
     lines = tx.split_lines("dialogue")
     n = F.size(lines)
     start = F.greatest(F.coalesce(F.col("line_start"), F.lit(1)), F.lit(1))

@@ -9,18 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colloquy.functions import text as tx
-from colloquy.operators import corpus as co
 from colloquy.operators import counts as ct
 from colloquy.operators.coverage import clamped_ranges, coverage_segments, coverage_totals
 from colloquy.operators.position import with_position, with_position_in_group
-from colloquy.operators.resolve import flagged_ranges
-from colloquy.plans.catalog import CORPUS, FLAGS, KEY, LABELLED, LONG, N_MODELS, ORACLE_SQL as CATALOG_SQL, _findings
+from colloquy.operators.audit import ColumnJudge
+from colloquy.operators.resolve import covered_lines, flagged_ranges
+from colloquy.plans.catalog import CORPUS, FLAGS, KEY, LABELLED, LONG, N_MODELS, _PLAIN, ORACLE_SQL as CATALOG_SQL, _findings
+from colloquy.plans import rolling_audit as ra
 from colloquy.session import scratch_path
+from colloquy.sinks.bucketed import store_bucketed, with_transcripts
 from colloquy.sinks import publish as pb
 from colloquy.sinks.csv_text import csv_line, write_csv_text
 from colloquy.sources import csv_files as cf
 from colloquy.sources import testdata as td
 from colloquy.sources.csv_records import csv_records, usable
+from colloquy.streaming import stateful as sf_
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
@@ -170,6 +173,65 @@ def q_flagged_coverage_totals(spark, sf):
     return totals.select("encounter_id", "n_lines", "n_flagged", "n_majority", "n_unanimous")
 
 
+# ---------------------------------------------------------------------------
+# Runs that follow one another
+# ---------------------------------------------------------------------------
+def _three_runs(spark: SparkSession, sf: str) -> ra.RollingStore:
+    """Two runs over different subsets, and a third that asks every third transcript again of a length judge that now sees no errors."""
+    inputs = td.labelled_prompt_inputs(spark, sf)
+    judges = td.testdata_judges()
+    root = _scratch(spark, "rolling")
+    ra.run_rolling_audit(spark, inputs.where("subset in ('en', 'de')"), judges, root, td.TESTDATA_AUDIT, run_id=1)
+    ra.run_rolling_audit(spark, inputs, judges, root, td.TESTDATA_AUDIT, run_id=2, max_attempts=1)
+    calm = [*judges[:2], ColumnJudge(judges[2].name, lambda: F.lit(td.RESP_CLEAN))]
+    return ra.run_rolling_audit(spark, inputs.where("doc_id % 3 = 0"), calm, root, td.TESTDATA_AUDIT, run_id=3, again=True)
+
+
+def q_rolling_metrics(spark, sf):
+    """INC-2, AGG-9 to AGG-14: metrics after three runs, from what each of them changed."""
+    return ra.rolling_metrics(spark, _three_runs(spark, sf), td.TESTDATA_VOCAB.splits)
+
+
+def q_rolling_findings(spark, sf):
+    """SNK-3, FIL-7: findings after three runs; the third withdraws some and changes others."""
+    found = ra.rolling_findings(spark, _three_runs(spark, sf), td.TESTDATA_AUDIT)
+    return found.select(*KEY, F.array_join("models_with_errors", ",").alias("models_with_errors"), F.size("models_with_errors").cast("long").alias("n_models_flagging"))
+
+
+def _landed_twice(spark: SparkSession, sf: str, start) -> None:
+    """Lets ``start(source)`` run over files of the first half of ``documents``, then, started anew, over the rest."""
+    c = td.corpus(spark, sf).withColumn("row_pos", F.col("row_pos").cast("long"))
+    source = _scratch(spark, "landing")
+    half = c.agg(F.max("doc_id")).first()[0] // 2
+    for part in ("doc_id <= {}", "doc_id > {}"):
+        c.where(part.format(half)).write.mode("append").parquet(source)
+        start(source, c.schema).awaitTermination()
+
+
+def q_stream_keep_first(spark, sf):
+    """WIN-1, INC-1 as a stream: copies are found across batches and a restart, by state."""
+    out, checkpoint = _scratch(spark, "kept"), _scratch(spark, "kept-state")
+    _landed_twice(spark, sf, lambda source, schema: sf_.start_keep_first_stream(spark, source, schema, out, checkpoint))
+    return spark.read.parquet(out).select("encounter_id", "subset", "split", "transcript_version")
+
+
+def q_stream_progress(spark, sf):
+    """INC-3 as a stream: rows and characters per cell, counted on over a restart."""
+    out, checkpoint = _scratch(spark, "progress"), _scratch(spark, "progress-state")
+    _landed_twice(spark, sf, lambda source, schema: sf_.start_progress_stream(spark, source, schema, out, checkpoint))
+    return sf_.read_progress(spark, out)
+
+
+def q_resolve_bucketed(spark, sf):
+    """JOIN-7 over a corpus stored in buckets: only the findings move."""
+    table = f"corpus_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    store_bucketed(td.corpus(spark, sf).select(*KEY, "dialogue"), table, _scratch(spark, "bucketed"), buckets, KEY)
+    ranges = flagged_ranges(_findings(spark, sf), KEY)
+    lines = covered_lines(with_transcripts(spark, ranges, table, ["dialogue"], KEY), KEY)
+    return lines.select("encounter_id", "model", F.col("line_no").cast("long").alias("line_no"), "line")
+
+
 def _unified(expr: str) -> str:
     return f"replace(replace({expr}, chr(13) || chr(10), chr(10)), chr(13), chr(10))"
 
@@ -192,8 +254,16 @@ QUERIES = {
     "split_column_order": q_split_column_order,
     "flagged_coverage": q_flagged_coverage,
     "flagged_coverage_totals": q_flagged_coverage_totals,
+    "rolling_metrics": q_rolling_metrics,
+    "rolling_findings": q_rolling_findings,
+    "stream_keep_first": q_stream_keep_first,
+    "stream_progress": q_stream_progress,
+    "resolve_bucketed": q_resolve_bucketed,
 }
 
+# The third run's length judge flags nothing in every third transcript.
+_CALMED = (_PLAIN, f"{_PLAIN} AND doc_id % 3 <> 0")
+
 ORACLE_SQL = {
     "csv_challenge": f"""WITH {CORPUS},
 c AS (SELECT *, (list_position(['train','valid','test1','test2','test3'], split) - 1) * {FILES_PER_SPLIT} + doc_id % {FILES_PER_SPLIT} AS file_no,
@@ -228,4 +298,10 @@ SELECT encounter_id, min(line)::BIGINT AS line_start, max(line)::BIGINT AS line_
     "flagged_coverage_totals": f"""WITH {_COVERED}
 SELECT encounter_id, n_lines::BIGINT AS n_lines, count(*) AS n_flagged, count(*) FILTER (k * 2 > {N_MODELS}) AS n_majority,
        count(*) FILTER (k = {N_MODELS}) AS n_unanimous FROM c GROUP BY encounter_id, n_lines""",
+    "rolling_metrics": CATALOG_SQL["metrics_cube"].replace(*_CALMED),
+    "rolling_findings": f"""SELECT subset, split, encounter_id, transcript_version, models_with_errors, n_models_flagging
+FROM ({CATALOG_SQL["flagged"].replace(*_CALMED)})""",
+    "stream_keep_first": CATALOG_SQL["dedup_keep_first"],
+    "stream_progress": f"WITH {CORPUS} SELECT subset, split, count(*) AS n_rows, sum(length(dialogue))::BIGINT AS n_chars FROM corpus GROUP BY ALL",
+    "resolve_bucketed": CATALOG_SQL["resolve_ranges"],
 }
