@@ -177,7 +177,8 @@ def _same_first(a: Column, b: Column) -> Column:
 
 def repeated_windows(texts: DataFrame, size: int) -> DataFrame:
     """(doc_id, copy, low, high): starts of windows of (doc_id, copy, text) whose bytes also start at an earlier place."""
-    often = _stretches(texts, size, False).groupBy("hash").count().where("count > 1").select("hash")
+    # a table, not an aggregation that the join reads through: the join then can split a hash that very many stretches share
+    often = stored(_stretches(texts, size, False).groupBy("hash").count().where("count > 1").select("hash"), "hashes")
     spans = stored(_stretches(texts, size, True).join(often, "hash", "left_semi"), "stretches")
     place = F.struct("doc_id", "copy", F.col("packed").alias("at"))
     classes = stored(spans.groupBy("hash", "class").agg(F.min(place).alias("earliest"), F.count("*").alias("n")), "classes")
