@@ -81,20 +81,25 @@ def buckets(text: str, m: QualityModel) -> np.ndarray:
     return (mix(np.concatenate(out)) >> np.uint64(64 - m.buckets_log2)).astype(np.int64)
 
 
-def train(texts: list[str], good: list[int], m: QualityModel) -> tuple[np.ndarray, float]:
-    """Fit the model; returns the log-odds per bucket and the intercept (the softmax of two classes, folded)."""
+def features(text: str | None, m: QualityModel) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct buckets of a whole text and how often each comes."""
+    n = np.zeros(1 << m.buckets_log2, np.int64)
+    for piece in _pieces(text or ""):
+        n += np.bincount(buckets(piece, m), minlength=len(n))
+    ids = np.flatnonzero(n)
+    return ids.astype(np.int32), n[ids]
+
+
+def train(rows: list[tuple[np.ndarray, np.ndarray]], good: list[int], m: QualityModel) -> tuple[np.ndarray, float]:
+    """Fit the model to documents' features; returns the log-odds per bucket and the intercept (the softmax of two classes, folded)."""
     rng = np.random.default_rng(m.seed)
     vectors = rng.uniform(-1 / m.dim, 1 / m.dim, (1 << m.buckets_log2, m.dim))
     out, bias = np.zeros((m.dim, 2)), np.zeros(2)
-    rows = []
-    for t, y in zip(texts, good, strict=True):
-        b = [buckets(p, m) for p in _pieces(t or "")]
-        ids, n = np.unique(np.concatenate(b) if b else np.empty(0, np.int64), return_counts=True)
-        rows.append((ids, n / max(1, n.sum()), int(y)))
     steps, done = max(1, m.epochs * len(rows)), 0
     for _ in range(m.epochs):
         for i in rng.permutation(len(rows)):
-            ids, share, y = rows[i]
+            ids, n = rows[i]
+            share, y = n / max(1, n.sum()), good[i]
             rate = m.rate * (1 - done / steps)
             done += 1
             v = vectors[ids]
@@ -130,9 +135,25 @@ def fit(docs: DataFrame, labels: DataFrame, m: QualityModel) -> tuple[np.ndarray
     drawn = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(m.sample)
     # a table of m.sample rows of two numbers at most: safe to broadcast
     got = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(drawn), "doc_id")
-    got = got.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("good").alias("good"))
-    got = sorted((r.doc_id, r.text, r.good) for r in got.collect())
-    return train([r[1] for r in got], [r[2] for r in got], m)
+    kinds = "doc_id long, good int, ids binary, n binary"
+
+    def read(batches):
+        for pdf in batches:
+            found = [features(t, m) for t in pdf.text]
+            yield pd.DataFrame({"doc_id": pdf.doc_id, "good": pdf.good, "ids": [i.tobytes() for i, _ in found], "n": [n.astype(np.int32).tobytes() for _, n in found]})
+
+    def learn(batches):
+        rows = pd.concat([pdf for pdf in batches] or [pd.DataFrame(columns=["doc_id", "good", "ids", "n"])])
+        pairs = [(np.frombuffer(i, np.int32), np.frombuffer(n, np.int32)) for i, n in zip(rows.ids, rows.n, strict=True)]
+        weights, bias = train(pairs, rows.good.astype(int).tolist(), m)
+        yield pd.DataFrame({"weights": [weights.tobytes()], "bias": [bias]})
+
+    # texts become features where they lie; of rows that repeat a doc_id one counts. One task trains, on m.sample rows at most.
+    rows = got.select("doc_id", "good", "text").mapInPandas(read, kinds).groupBy("doc_id").agg(F.min(F.struct("good", "ids", "n")).alias("r"))
+    one = rows.select("doc_id", "r.*").coalesce(1).sortWithinPartitions("doc_id").mapInPandas(learn, "weights binary, bias double").first()
+    if one is None:
+        return np.zeros(1 << m.buckets_log2, np.float32), 0.0
+    return np.frombuffer(one.weights, np.float32), one.bias
 
 
 def score(docs: DataFrame, labels: DataFrame, m: QualityModel = QualityModel()) -> DataFrame:
