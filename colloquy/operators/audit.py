@@ -9,7 +9,7 @@ progress, findings and metrics are all derived from it.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from colloquy.config import DEFAULT_AUDIT, TRANSCRIPT_KEY, AuditConfig
-from colloquy.functions.calls import concurrent_answer
+from colloquy.functions.calls import concurrent_answer, windowed_answers
 from colloquy.functions import prompt as pr
 from colloquy.functions import text as tx
 from colloquy.functions import verdict as vd
@@ -58,7 +58,27 @@ class BatchJudge:
         return udf(prompt if run is None else F.when(run, prompt))
 
 
-Judge = ColumnJudge | BatchJudge
+@dataclass(frozen=True)
+class StreamJudge:
+    """A judge that answers a task's whole stream of prompt batches, in order, and may look ahead in it."""
+
+    name: str
+    answers: Callable[[Iterator[pd.Series]], Iterator[pd.Series]]
+    input_col: str = "prompt"
+
+    def column(self, run: Column | None = None) -> Column:
+        answers = self.answers
+
+        def stream(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            yield from answers(batches)
+
+        stream.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
+        udf = F.pandas_udf(stream, T.StringType()).asNondeterministic()
+        prompt = F.col(self.input_col)
+        return udf(prompt if run is None else F.when(run, prompt))
+
+
+Judge = ColumnJudge | BatchJudge | StreamJudge
 
 
 def concurrent_judge(name: str, call: Callable[[str], str | None], max_workers: int = 8) -> BatchJudge:
@@ -68,6 +88,12 @@ def concurrent_judge(name: str, call: Callable[[str], str | None], max_workers:
     return BatchJudge(name, concurrent_answer(call, max_workers))
 
 
+def windowed_judge(name: str, call: Callable[[str], str | None], **how) -> StreamJudge:
+    """UDF-1 + UDF-2 for a remote model with a sliding window of calls per task: bounded calls in flight over the borders of
+    batches, retries with back-off, a time limit per call (``windowed_answers`` has the parameters)."""
+    return StreamJudge(name, windowed_answers(call, **how))
+
+
 def with_transcript_key(corpus: DataFrame, key: Sequence[str] = DEFAULT_AUDIT.key) -> DataFrame:
     """Add the dialogue digest when the audit key asks for it and the corpus lacks it."""
     if TRANSCRIPT_KEY in key and TRANSCRIPT_KEY not in corpus.columns:

@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colloquy.functions import text as tx
+from colloquy.operators import audit as au
+from colloquy.operators import bitmaps as bm
 from colloquy.operators import counts as ct
+from colloquy.operators import open_fields as of
 from colloquy.operators.coverage import clamped_ranges, coverage_segments, coverage_totals
 from colloquy.operators.position import with_position, with_position_in_group
-from colloquy.operators.audit import ColumnJudge
 from colloquy.operators.resolve import covered_lines, flagged_ranges
-from colloquy.plans.catalog import CORPUS, FLAGS, KEY, LABELLED, LONG, N_MODELS, _PLAIN, ORACLE_SQL as CATALOG_SQL, _findings
+from colloquy.plans.catalog import CORPUS, FLAGS, KEY, LABELLED, LONG, N_MODELS, _PLAIN, _findings, _progress, _wide
+from colloquy.plans.catalog import ORACLE_SQL as CATALOG_SQL
 from colloquy.plans import rolling_audit as ra
 from colloquy.session import scratch_path
 from colloquy.sinks.bucketed import store_bucketed, with_transcripts
@@ -183,7 +186,7 @@ def _three_runs(spark: SparkSession, sf: str) -> ra.RollingStore:
     root = _scratch(spark, "rolling")
     ra.run_rolling_audit(spark, inputs.where("subset in ('en', 'de')"), judges, root, td.TESTDATA_AUDIT, run_id=1)
     ra.run_rolling_audit(spark, inputs, judges, root, td.TESTDATA_AUDIT, run_id=2, max_attempts=1)
-    calm = [*judges[:2], ColumnJudge(judges[2].name, lambda: F.lit(td.RESP_CLEAN))]
+    calm = [*judges[:2], au.ColumnJudge(judges[2].name, lambda: F.lit(td.RESP_CLEAN))]
     return ra.run_rolling_audit(spark, inputs.where("doc_id % 3 = 0"), calm, root, td.TESTDATA_AUDIT, run_id=3, again=True)
 
 
@@ -232,6 +235,58 @@ def q_resolve_bucketed(spark, sf):
     return lines.select("encounter_id", "model", F.col("line_no").cast("long").alias("line_no"), "line")
 
 
+# ---------------------------------------------------------------------------
+# Fields that the contract does not know
+# ---------------------------------------------------------------------------
+def q_open_findings(spark, sf):
+    """SRC-10, SNK-3: findings written, read, rewritten and read again, with all fields of their items and a field of their own."""
+    found = of.open_findings(_wide(spark, sf), KEY)
+    notes = td.corpus(spark, sf).select(*KEY, F.col("note").alias("own_field"))
+    first, second = _scratch(spark, "findings"), _scratch(spark, "findings")
+    of.write_open_findings(found.join(notes, KEY), first)
+    of.write_open_findings(of.read_open_findings(spark, first, KEY), second)
+    back = of.read_open_findings(spark, second, KEY)
+    items = F.flatten(F.map_values("errors"))
+    unknown = F.transform(items, lambda i: F.size(F.filter(F.map_keys(i.cast("map<string,variant>")), lambda k: ~k.isin(*of.KNOWN_ITEM_FIELDS))))
+    return back.select(
+        "encounter_id",
+        F.array_join("models_with_errors", ",").alias("models_with_errors"),
+        F.size(items).cast("long").alias("n_items"),
+        F.aggregate(unknown, F.lit(0).cast("long"), lambda s, n: s + n).alias("n_unknown"),
+        F.try_variant_get(F.element_at("extra", "own_field"), "$", "string").alias("own_field"),
+    )
+
+
+def q_field_report(spark, sf):
+    """FN-7, FN-8 as a report: the fields of all judges' error items, their types and how often they come."""
+    return of.field_report(au.verdicts_long(_wide(spark, sf), KEY))
+
+
+# ---------------------------------------------------------------------------
+# The processed set as bitmaps
+# ---------------------------------------------------------------------------
+def _progress_bits(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Codes given in two deliveries of the corpus, and the processed set merged from three runs' bitmaps."""
+    c = td.corpus(spark, sf).select(*KEY, "doc_id")
+    codes = bm.key_codes(c, bm.key_codes(c.where("doc_id % 3 = 0"), None, KEY), KEY)
+    path = _scratch(spark, "codes")
+    codes.write.parquet(path)
+    codes = spark.read.schema(codes.schema).parquet(path)
+    done = _progress(spark, sf)
+    parts = [bm.bitmaps(done.where(F.crc32("encounter_id") % 4 != n), codes, KEY) for n in (0, 1, 2)]
+    return codes, bm.merged(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+
+
+def q_bitmap_pending(spark, sf):
+    """JOIN-1 by bits: the transcripts that are not in the processed set."""
+    return bm.without(*_progress_bits(spark, sf), KEY)
+
+
+def q_bitmap_progress(spark, sf):
+    """JOIN-2, INC-3 by bits: total, processed and remaining per subset, counted in the set."""
+    return bm.set_counts(*_progress_bits(spark, sf))
+
+
 def _unified(expr: str) -> str:
     return f"replace(replace({expr}, chr(13) || chr(10), chr(10)), chr(13), chr(10))"
 
@@ -259,8 +314,15 @@ QUERIES = {
     "stream_keep_first": q_stream_keep_first,
     "stream_progress": q_stream_progress,
     "resolve_bucketed": q_resolve_bucketed,
+    "open_findings": q_open_findings,
+    "field_report": q_field_report,
+    "bitmap_pending": q_bitmap_pending,
+    "bitmap_progress": q_bitmap_progress,
 }
 
+# How many items the length judge's answer has.
+_LENGTH_ITEMS = f"CASE WHEN doc_id % {td.ODD_EVERY} < {td.ODD_MALFORMED} THEN 0 WHEN {_PLAIN} AND n_chars < {td.SHORT_TEXT_CHARS} THEN 2 ELSE 1 END"
+
 # The third run's length judge flags nothing in every third transcript.
 _CALMED = (_PLAIN, f"{_PLAIN} AND doc_id % 3 <> 0")
 
@@ -304,4 +366,20 @@ FROM ({CATALOG_SQL["flagged"].replace(*_CALMED)})""",
     "stream_keep_first": CATALOG_SQL["dedup_keep_first"],
     "stream_progress": f"WITH {CORPUS} SELECT subset, split, count(*) AS n_rows, sum(length(dialogue))::BIGINT AS n_chars FROM corpus GROUP BY ALL",
     "resolve_bucketed": CATALOG_SQL["resolve_ranges"],
+    "open_findings": f"""WITH {CORPUS}, {LABELLED}, {FLAGS}
+SELECT encounter_id, concat_ws(',', CASE WHEN fa THEN 'judge/quality' END, CASE WHEN fb THEN 'judge/toxicity' END, CASE WHEN fc THEN 'judge/length' END) AS models_with_errors,
+       CAST((quality IS NOT NULL)::INT + (toxic IS NOT NULL)::INT + {_LENGTH_ITEMS} AS BIGINT) AS n_items,
+       CAST((doc_id % {td.ODD_EVERY} = 3)::INT AS BIGINT) AS n_unknown, note AS own_field FROM f""",
+    "field_report": f"""WITH {CORPUS}, {LABELLED},
+i AS (SELECT doc_id, quality, toxic, {_LENGTH_ITEMS} AS k FROM x),
+r AS (
+  SELECT 'judge/quality' AS model, unnest(['lines', 'reason']) AS field, count(quality) AS n FROM i
+  UNION ALL SELECT 'judge/toxicity', unnest(['lines', 'reason']), count(toxic) FROM i
+  UNION ALL SELECT 'judge/length', 'lines', sum(k) FROM i
+  UNION ALL SELECT 'judge/length', 'reason', sum(k) FILTER (doc_id % {td.ODD_EVERY} <> 4) FROM i
+  UNION ALL SELECT 'judge/length', 'sure', count(*) FILTER (doc_id % {td.ODD_EVERY} = 3) FROM i)
+SELECT model, field, CASE field WHEN 'lines' THEN 'ARRAY<BIGINT>' WHEN 'reason' THEN 'STRING' ELSE 'BOOLEAN' END AS kind, field <> 'sure' AS known, n::BIGINT AS n
+FROM r WHERE n > 0""",
+    "bitmap_pending": CATALOG_SQL["pending"],
+    "bitmap_progress": CATALOG_SQL["progress_counts"],
 }
