@@ -36,6 +36,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files that only dropped plans refer to: its cleaner waits for the driver's JVM to collect garbage."""
+    spark.sparkContext._jvm.System.gc()
+
+
 class Shared:
     """A value broadcast as bytes that carry this package's classes by value, so that executors need no copy of it.
 
