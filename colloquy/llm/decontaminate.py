@@ -76,7 +76,8 @@ def contaminated(docs: DataFrame, items: DataFrame, p: Decontamination = Deconta
     """(doc_id, item_id, similarity, start, n_words): per document and item the best window at the threshold or above.
 
     start and n_words place the window in the document's words; ties go to the earliest. A document shorter
-    than an item is one window. Documents or items without words, with null text or null id take no
+    than an item is one window. An item of fewer than ``shingle_words`` words is one shingle: it is found where it stands
+    word for word. Documents or items without words, with null text or null id take no
     part; repeated rows give one result; empty tables give an empty result. Extra columns are ignored.
     """
     k = p.shingle_words
@@ -84,15 +85,25 @@ def contaminated(docs: DataFrame, items: DataFrame, p: Decontamination = Deconta
     i = items.select(F.col("item_id").cast("long").alias("item_id"), words(F.col("text")).alias("words")).where("item_id is not null and size(words) > 0").distinct()
     i = i.select("item_id", length.alias("n"), F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
     i = stored(i.select("item_id", "n", shingle_hashes(F.col("h"), F.col("n"), k).alias("shingles"), simhash(F.col("h"), F.col("n")).alias("fp")), "items")
+    # the lengths, less than k, of items that are one shingle of their own length: k - 1 numbers at most
+    short = sorted(r.n for r in i.where(F.col("n") < k).select("n").distinct().collect())
     vocabulary = i.select(F.explode("shingles").alias("hash")).distinct()
     if vocabulary.count() <= BROADCAST_ROWS:
         vocabulary = F.broadcast(vocabulary)
 
     d = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     h = F.transform(words(F.col("text")), lambda w: F.xxhash64(w))
-    places = d.select("doc_id", h.alias("h")).select("doc_id", F.size("h").alias("len"), shingle_hashes(F.col("h"), F.size("h"), k).alias("s"))
-    # outer: an inner explode would have the optimiser test the array's size below the projections, once per word
-    places = places.select("doc_id", "len", F.posexplode_outer("s").alias("pos", "hash")).join(vocabulary, "hash", "left_semi")
+    hashed = d.select("doc_id", h.alias("h"))
+
+    def runs(n: int) -> DataFrame:
+        rows = hashed.select("doc_id", F.size("h").alias("len"), shingle_hashes(F.col("h"), F.size("h"), n).alias("s"))
+        # outer: an inner explode would have the optimiser test the array's size below the projections, once per word
+        return rows.select("doc_id", "len", F.posexplode_outer("s").alias("pos", "hash"))
+
+    places = runs(k)
+    for n in short:  # a document's shingles have k words: shorter items are looked for by runs of their own length
+        places = places.unionByName(runs(n))
+    places = places.join(vocabulary, "hash", "left_semi")
     holders = i.select("n", F.explode("shingles").alias("hash")).distinct()
     places = places.join(holders, "hash")
     # windows of n words (the whole document, if shorter) that cover the shingle at pos
@@ -104,7 +115,7 @@ def contaminated(docs: DataFrame, items: DataFrame, p: Decontamination = Deconta
     at = windows.join(d, "doc_id").select("doc_id", F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("h"), "w")
     at = at.select("doc_id", "h", F.explode("w").alias("w")).select("doc_id", F.col("w.n").alias("n"), F.col("w.start").alias("start"), F.slice("h", F.col("w.start") + 1, F.col("w.n")).alias("h"))
     at = at.withColumn("len", F.size("h")).withColumn("fp", simhash(F.col("h"), F.col("len")))
-    # a window shorter than its item (a short document) has a fingerprint of its own length: all such items are candidates
+    # a window shorter than its item (a short document) has a fingerprint of its own length and is found within the radius too
     probe = at.where("len > 0").select("*", F.posexplode(_block_values(F.col("fp"), p)).alias("block", "value"))
     index = i.select("item_id", "n", "shingles", F.col("fp").alias("item_fp"), F.posexplode(_block_values(F.col("fp"), p)).alias("block", "v"))
     index = index.select("*", F.explode(F.array(*(F.col("v").bitwiseXOR(F.lit(f)) for f in _flips(p)))).alias("value")).drop("v")
