@@ -53,6 +53,7 @@ CONTROL_CHARS = r"[\x00-\x08\x0b\x0c\x0e-\x1f]"
 # characters; str.translate with a dict would visit every character in Python.
 _MAPPED_RE = re.compile("[" + "".join(re.escape(k) for k in CHAR_MAP) + "]")
 _CONTROL_RE = re.compile(CONTROL_CHARS)
+_DROPPED_RE = re.compile(r"[^\x00-\x7f]|" + CONTROL_CHARS)
 
 
 def _mapped(m: re.Match) -> str:
@@ -60,12 +61,11 @@ def _mapped(m: re.Match) -> str:
 
 
 def fold_to_ascii(text: str) -> str:
-    """The fold on one string: NFKC, character map, NFKD, drop non-ASCII, drop controls."""
-    text = _MAPPED_RE.sub(_mapped, unicodedata.normalize("NFKC", text))
-    text = unicodedata.normalize("NFKD", text).encode("ascii", "ignore").decode("ascii")
-    return _CONTROL_RE.sub("", text)
-
-
+    """The fold on one string: compatibility composition and the character map, then decomposition, of which
+    plain ASCII stays: accents, other scripts and control characters go."""
+    composed = unicodedata.normalize("NFKC", text)
+    plain = _MAPPED_RE.sub(_mapped, composed)
+    return _DROPPED_RE.sub("", unicodedata.normalize("NFKD", plain))
 
 
 def fold_value(value: str | None) -> str:

@@ -9,6 +9,7 @@ progress, findings and metrics are all derived from it.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -23,6 +24,8 @@ from colloquy.functions import prompt as pr
 from colloquy.functions import text as tx
 from colloquy.functions import verdict as vd
 from colloquy.operators.resolve import key_join
+from colloquy.session import scratch_path
+
 
 @dataclass(frozen=True)
 class ColumnJudge:
@@ -319,6 +322,13 @@ def progress_from_verdicts(
 def run_audit(
     corpus: DataFrame, judges: Sequence[Judge], config: AuditConfig = DEFAULT_AUDIT
 ) -> tuple[DataFrame, DataFrame]:
-    """One pass: prompts -> judges -> (long verdicts, findings). Both lazily share the same plan."""
-    wide = fan_out(build_prompts(with_transcript_key(corpus, config.key)), judges)
+    """One pass: prompts -> judges -> (long verdicts, findings).
+
+    The answers are stored under the checkpoint folder before anything is derived from them, so that every judge is called
+    once per transcript however often the two tables are used.
+    """
+    wide = fan_out(build_prompts(with_transcript_key(corpus, config.key)), judges).select(*config.key, "n_lines", "verdicts")
+    path = scratch_path(corpus.sparkSession, f"verdicts-{uuid.uuid4().hex}")
+    wide.write.parquet(path)
+    wide = corpus.sparkSession.read.schema(wide.schema).parquet(path)
     return verdicts_long(wide, config.key), findings(wide, config.key)

@@ -314,7 +314,7 @@ QUERIES = {
     "stream_keep_first": q_stream_keep_first,
     "stream_progress": q_stream_progress,
     "resolve_bucketed": q_resolve_bucketed,
-    "open_findings": q_open_findings,
+    "findings_unknown_fields": q_open_findings,
     "field_report": q_field_report,
     "bitmap_pending": q_bitmap_pending,
     "bitmap_progress": q_bitmap_progress,
@@ -366,7 +366,7 @@ FROM ({CATALOG_SQL["flagged"].replace(*_CALMED)})""",
     "stream_keep_first": CATALOG_SQL["dedup_keep_first"],
     "stream_progress": f"WITH {CORPUS} SELECT subset, split, count(*) AS n_rows, sum(length(dialogue))::BIGINT AS n_chars FROM corpus GROUP BY ALL",
     "resolve_bucketed": CATALOG_SQL["resolve_ranges"],
-    "open_findings": f"""WITH {CORPUS}, {LABELLED}, {FLAGS}
+    "findings_unknown_fields": f"""WITH {CORPUS}, {LABELLED}, {FLAGS}
 SELECT encounter_id, concat_ws(',', CASE WHEN fa THEN 'judge/quality' END, CASE WHEN fb THEN 'judge/toxicity' END, CASE WHEN fc THEN 'judge/length' END) AS models_with_errors,
        CAST((quality IS NOT NULL)::INT + (toxic IS NOT NULL)::INT + {_LENGTH_ITEMS} AS BIGINT) AS n_items,
        CAST((doc_id % {td.ODD_EVERY} = 3)::INT AS BIGINT) AS n_unknown, note AS own_field FROM f""",
