@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from colloquy.functions import text as tx
 from colloquy.operators import audit as au
 from colloquy.operators import bitmaps as bm
+from colloquy.operators import corpus as co
 from colloquy.operators import counts as ct
+from colloquy.operators import metrics as me
 from colloquy.operators import open_fields as of
 from colloquy.operators.coverage import clamped_ranges, coverage_segments, coverage_totals
 from colloquy.operators.position import with_position, with_position_in_group
@@ -23,6 +25,8 @@ from colloquy.session import scratch_path
 from colloquy.sinks.bucketed import store_bucketed, with_transcripts
 from colloquy.sinks import publish as pb
 from colloquy.sinks.csv_text import csv_line, write_csv_text
+from colloquy.sinks.findings import write_metrics
+from colloquy.sinks.layout import write_counts_csv, write_samples
 from colloquy.sources import csv_files as cf
 from colloquy.sources import testdata as td
 from colloquy.sources.csv_records import csv_records, usable
@@ -287,6 +291,66 @@ def q_bitmap_progress(spark, sf):
     return bm.set_counts(*_progress_bits(spark, sf))
 
 
+# ---------------------------------------------------------------------------
+# Reports as files
+# ---------------------------------------------------------------------------
+def q_samples_json(spark, sf):
+    """SNK-2: the first five records of every cell, written as JSON and read back."""
+    path = _scratch(spark, "samples")
+    write_samples(td.corpus(spark, sf), path, ["encounter_id", "transcript_version", "dialogue"])
+    rows = spark.read.schema("encounter_id string, transcript_version string, dialogue string, sample_rank long, subset string, split string").json(path)
+    return rows.select("subset", "split", "sample_rank", "encounter_id", "transcript_version", F.sha2("dialogue", 256).alias("dialogue_sha256"))
+
+
+def q_counts_csv(spark, sf):
+    """SNK-6: the long counts as a CSV file, read back with the place of every row in it."""
+    path = _scratch(spark, "counts")
+    write_counts_csv(ct.version_counts(td.corpus(spark, sf)), path, td.TESTDATA_VOCAB)
+    rows = csv_records(spark, path, {c: (c,) for c in ("subset", "split", "transcript_version", "count")})
+    return rows.select("subset", "split", "transcript_version", F.col("count").cast("long").alias("count"), F.col("record_no").alias("place"))
+
+
+_CELL = "struct<total_notes:bigint,notes_with_errors:bigint,error_percentage:double,all_models_found_errors:bigint,majority_consensus_errors:bigint>"
+_SUMMARY = "struct<total_notes_with_errors:bigint,total_notes_processed:bigint,majority_consensus_errors:bigint>"
+_DOCUMENT = (
+    f"summary {_SUMMARY}, by_subset map<string,{_CELL}>, by_split map<string,{_CELL}>, by_subset_and_split map<string,map<string,{_CELL}>>, "
+    f"by_transcript_version map<string,{_CELL}>, by_subset_and_transcript_version map<string,map<string,{_CELL}>>"
+)
+
+
+def q_metrics_json(spark, sf):
+    """SNK-5: the nested metrics document, written, read and unfolded into rows again."""
+    table, text = _scratch(spark, "metrics"), _scratch(spark, "metrics-json")
+    totals = co.cell_counts(td.corpus(spark, sf))
+    write_metrics(me.metrics(_findings(spark, sf), totals, N_MODELS, td.TESTDATA_VOCAB.splits), table, text)
+    doc = spark.read.text(text).select(F.from_json("value", _DOCUMENT).alias("d")).select("d.*")
+    none = F.lit(None).cast("string")
+    measures = ("total_notes", "notes_with_errors", "error_percentage", "all_models_found_errors", "majority_consensus_errors")
+
+    def rows(name: str, subset=none, split=none, version=none, cells: DataFrame | None = None) -> DataFrame:
+        return cells.select(F.lit(name).alias("grouping"), subset.alias("subset"), split.alias("split"), version.alias("transcript_version"), *[F.col(f"cell.{m}").alias(m) for m in measures])
+
+    flat = lambda name: doc.select(F.explode(name).alias("k", "cell"))
+    nested = lambda name: doc.select(F.explode(name).alias("k", "inner")).select("k", F.explode("inner").alias("j", "cell"))
+    null = lambda kind: F.lit(None).cast(kind)
+    summary = doc.select(
+        F.lit("summary").alias("grouping"),
+        none.alias("subset"),
+        none.alias("split"),
+        none.alias("transcript_version"),
+        F.col("summary.total_notes_processed").alias("total_notes"),
+        F.col("summary.total_notes_with_errors").alias("notes_with_errors"),
+        null("double").alias("error_percentage"),
+        null("long").alias("all_models_found_errors"),
+        F.col("summary.majority_consensus_errors").alias("majority_consensus_errors"),
+    )
+    k, j = F.col("k"), F.col("j")
+    out = summary.unionByName(rows("by_subset", subset=k, cells=flat("by_subset"))).unionByName(rows("by_split", split=k, cells=flat("by_split")))
+    out = out.unionByName(rows("by_subset_and_split", subset=k, split=j, cells=nested("by_subset_and_split")))
+    out = out.unionByName(rows("by_transcript_version", version=k, cells=flat("by_transcript_version")))
+    return out.unionByName(rows("by_subset_and_transcript_version", subset=k, version=j, cells=nested("by_subset_and_transcript_version")))
+
+
 def _unified(expr: str) -> str:
     return f"replace(replace({expr}, chr(13) || chr(10), chr(10)), chr(13), chr(10))"
 
@@ -318,6 +382,9 @@ QUERIES = {
     "field_report": q_field_report,
     "bitmap_pending": q_bitmap_pending,
     "bitmap_progress": q_bitmap_progress,
+    "samples_json": q_samples_json,
+    "counts_csv": q_counts_csv,
+    "metrics_json": q_metrics_json,
 }
 
 # How many items the length judge's answer has.
@@ -382,4 +449,9 @@ SELECT model, field, CASE field WHEN 'lines' THEN 'ARRAY<BIGINT>' WHEN 'reason'
 FROM r WHERE n > 0""",
     "bitmap_pending": CATALOG_SQL["pending"],
     "bitmap_progress": CATALOG_SQL["progress_counts"],
+    "samples_json": f"""WITH {CORPUS}
+SELECT subset, split, row_number() OVER (PARTITION BY subset, split ORDER BY doc_id) AS sample_rank, encounter_id, transcript_version,
+       sha256(dialogue) AS dialogue_sha256 FROM corpus QUALIFY sample_rank <= 5""",
+    "counts_csv": CATALOG_SQL["counts_order"],
+    "metrics_json": CATALOG_SQL["metrics_cube"],
 }
