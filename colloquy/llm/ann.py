@@ -43,6 +43,17 @@ class AnnIndex:
     seed: int = 5
 
 
+BLOCK = 1_024  # sample vectors whose distances to all centroids are held at once: 34 MB beside 4,096 of them
+
+
+def _distances(x: np.ndarray, c: np.ndarray):
+    """Squared distances to all centroids, a block of vectors at a time."""
+    norm = (c * c).sum(1)[None, :]
+    for i in range(0, len(x), BLOCK):
+        part = x[i : i + BLOCK]
+        yield np.maximum((part * part).sum(1)[:, None] - 2 * part @ c.T + norm, 0)
+
+
 def fit_centroids(x: np.ndarray, k: int, p: AnnIndex) -> tuple[np.ndarray, float]:
     """k-means whose assignment adds a penalty for large clusters, so that lists come out balanced; and the median distance to them.
 
@@ -52,9 +63,9 @@ def fit_centroids(x: np.ndarray, k: int, p: AnnIndex) -> tuple[np.ndarray, float
     c = x[rng.permutation(len(x))[:k]].copy()
     size = np.full(k, len(x) / k)
     for _ in range(p.iterations):
-        d = np.maximum((x * x).sum(1)[:, None] - 2 * x @ c.T + (c * c).sum(1)[None, :], 0)
-        d += p.penalty * d.min(1).mean() * np.maximum(size * k / len(x) - 1, 0)[None, :]
-        own = d.argmin(1)
+        usual = sum(d.min(1).sum() for d in _distances(x, c)) / len(x)
+        load = p.penalty * usual * np.maximum(size * k / len(x) - 1, 0)[None, :]
+        own = np.concatenate([(d + load).argmin(1) for d in _distances(x, c)])
         size = np.bincount(own, minlength=k)
         total = np.zeros_like(c)
         np.add.at(total, own, x)
@@ -62,8 +73,7 @@ def fit_centroids(x: np.ndarray, k: int, p: AnnIndex) -> tuple[np.ndarray, float
         c[~empty] = total[~empty] / size[~empty, None]
         c[empty] = x[rng.integers(0, len(x), int(empty.sum()))]
         c *= norm / np.maximum(np.sqrt((c * c).sum(1, keepdims=True)), 1e-12)
-    d = (x * x).sum(1)[:, None] - 2 * x @ c.T + (c * c).sum(1)[None, :]
-    return c, float(np.median(np.sqrt(np.maximum(d.min(1), 0))))
+    return c, float(np.median(np.sqrt(np.concatenate([d.min(1) for d in _distances(x, c)]))))
 
 
 class CentroidGraph:
