@@ -11,6 +11,7 @@ remains is verified on the full sets.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,17 +28,22 @@ _LOWER = bytes.maketrans(_UPPER, _UPPER.lower())
 
 @dataclass(frozen=True)
 class NearDup:
-    """Parameters. A pair at the threshold 0.85 shares no band with probability (1 - 0.85^rows)^bands < 1e-5."""
+    """Parameters. There are as many bands as it takes that a pair at the threshold shares none with a probability of ``miss`` at most."""
 
     shingle_words: int = 5
     percent: int = 80  # link when 100 * |A and B| >= percent * |A or B|
-    bands: int = 20
     rows: int = 5
+    miss: float = 1e-5
     base: float = 1.001
     rate: float = 20.0
     top: int = 65535
     seed: int = 17
 
+    @property
+    def bands(self) -> int:
+        apart = 1 - (self.percent / 100) ** self.rows  # the chance that a band differs
+        return max(1, math.ceil(math.log(self.miss) / math.log(apart))) if apart > 0 else 1
+
     @property
     def registers(self) -> int:
         return self.bands * self.rows

@@ -80,3 +80,10 @@ def test_components_of_a_chain_and_a_star(spark):
     got = {r.id: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 130)}}
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_bands_follow_the_threshold():
+    for percent, bands in ((85, 20), (80, 29), (50, 363), (100, 1)):
+        p = neardup.NearDup(percent=percent)
+        assert p.bands == bands and p.registers == 5 * bands
+        assert (1 - (percent / 100) ** p.rows) ** p.bands <= p.miss
