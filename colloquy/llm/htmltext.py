@@ -34,6 +34,7 @@ ROLES = frozenset(("navigation", "banner", "contentinfo", "complementary", "sear
 MARKED = frozenset(
     ("ad", "ads", "adbox", "adsense", "advert", "adverts", "advertisement", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "cookie", "cookies", "disqus", "footer", "gdpr", "login", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "pagination", "popup", "promo", "promotion", "related", "replies", "respond", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget")
 )
+MODIFIERS = frozenset(("has", "no", "with", "without", "not", "hide", "hides"))
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -49,32 +50,52 @@ _SPLIT = re.compile(r"[^a-z0-9]+")
 _SPACE = re.compile(r"[\x20\x09-\x0D]+")
 
 
-def _left_out(name: str, attributes: str, in_article: bool) -> bool:
+def _names(value: str) -> list[list[str]]:
+    """The words of each class or id name; names that say what an element has, lacks or goes with are left out."""
+    found = [_SPLIT.split(name) for name in value.split()]
+    return [words for words in found if MODIFIERS.isdisjoint(words)]
+
+
+def _left_out(name: str, attributes: str, in_article: bool) -> str:
+    """"never" for what is no article text by its element or role, "marked" by its class or id, else ""."""
     if name in NEVER or (name == "header" and not in_article):
-        return True
+        return "never"
+    marked = ""
     for key, *value in _ATTRIBUTE.findall(attributes) if attributes else ():
         value = "".join(value).lower()
         if key.lower() == "role":
             if value in ROLES:
-                return True
-        elif name not in ("html", "body", "article", "main") and not MARKED.isdisjoint(_SPLIT.split(value)):
-            return True
-    return False
+                return "never"
+        elif name not in ("html", "body", "article", "main") and any(not MARKED.isdisjoint(words) for words in _names(value)):
+            marked = "marked"
+    return marked
 
 
 def read_page(page: str) -> list[tuple[str, str, int, int]]:
     """The page as units (feature, text, block, article): a tag has text None; text left out has none at all.
 
     A word's feature is ``words:`` and its innermost block element; article numbers the enclosing article or main
-    element, 0 if there is none.
+    element, 0 if there is none. A marked element is left out unless it holds more than half of the page's words.
     """
-    units, stack, open_ = [], [("", False, 0, "")], Counter()
-    block = articles = 0
+    units, stack, open_ = [], [("", False, (), 0, "")], Counter()
+    block = articles = marks = 0
+    within: Counter = Counter()  # words by marked element
+    under: dict[int, tuple[int, ...]] = {}  # marked elements around a unit
+    total = 0
 
     def text(raw: str) -> None:
-        _, out, article, holder = stack[-1]
-        if not out and raw:
-            units.append((f"words:{holder}", entities.unescape(raw) if "&" in raw else raw, block, article))
+        nonlocal total
+        _, never, around, article, holder = stack[-1]
+        if never or not raw:
+            return
+        raw = entities.unescape(raw) if "&" in raw else raw
+        n = len(raw.split())
+        total += n
+        if around:
+            under[len(units)] = around
+            for mark in around:
+                within[mark] += n
+        units.append((f"words:{holder}", raw, block, article))
 
     at = 0
     for m in _TOKEN.finditer(page):
@@ -84,12 +105,12 @@ def read_page(page: str) -> list[tuple[str, str, int, int]]:
         name = m[3] or m[6]
         if not name:
             if m[1]:
-                units.append(("raw", None, block, stack[-1][2]))
+                units.append(("raw", None, block, stack[-1][3]))
             continue
         name, closing = name.lower(), bool(m[2] or m[5])
         if name not in INLINE:
             block += 1
-        _, out, article, holder = stack[-1]
+        _, never, around, article, holder = stack[-1]
         units.append((name if name in KNOWN else "other", None, block, article))
         if closing:
             if open_[name]:
@@ -102,13 +123,17 @@ def read_page(page: str) -> list[tuple[str, str, int, int]]:
             if name in ("article", "main") and not open_["article"] and not article:
                 if not _left_out(name, m[4] or m[7], True):
                     articles += 1
-                    article, out = articles, False
-            out = out or _left_out(name, m[4] or m[7], bool(article))
-            stack.append((name, out, article, holder if name in INLINE else name if name in KNOWN else "other"))
+                    article, never, around = articles, False, ()
+            left_out = _left_out(name, m[4] or m[7], bool(article))
+            if left_out == "marked":
+                marks += 1
+                around = (*around, marks)
+            stack.append((name, never or left_out == "never", around, article, holder if name in INLINE else name if name in KNOWN else "other"))
             open_[name] += 1
     if at < len(page):
         text(page[at:])
-    return units
+    gone = {i for i, around in under.items() if any(2 * within[mark] <= total for mark in around)}
+    return [u for i, u in enumerate(units) if i not in gone] if gone else units
 
 
 def counts(page: str) -> Counter:
@@ -153,7 +178,9 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
     if a == b:
         return ""
     words = [i for i in range(a, b) if units[i][1] is not None and units[i][1].strip()]
-    inside = Counter(units[i][3] for i in words)
+    inside: Counter = Counter()
+    for i in words:
+        inside[units[i][3]] += len(units[i][1].split())
     article = max(inside, key=inside.get)
     first, last = units[words[0]][2], units[words[-1]][2]
     blocks: dict[int, list[str]] = {}

@@ -218,6 +218,26 @@ def test_article_text():
     assert htmltext.best_run([-1, 2, -1, 3, -9, 4]) == (1, 4)
 
 
+def test_best_run_has_the_largest_sum():
+    rng = random.Random(7)
+    for _ in range(300):
+        scores = [rng.choice((-3.0, -1.0, -0.5, 0.0, 0.5, 1.0, 4.0)) for _ in range(rng.randrange(15))]
+        sums = {(i, j): sum(scores[i:j]) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1)}
+        top = max([0.0, *sums.values()])
+        a, b = htmltext.best_run(scores)
+        assert sum(scores[a:b]) == top and (top > 0) == (b > a)
+
+
+def test_modifiers_and_large_marked_elements():
+    article = "<h1>Title of it</h1><p>" + "many words of the article " * 8 + "</p>"
+    want = " ".join(("Title of it " + "many words of the article " * 8).split())
+    for mark in ("content has-sidebar", "no-sidebar", "post-with-comments", "without_menu", "entry-widget", "comments"):
+        page = f'<body><nav>Home</nav><div class="{mark}">{article}<div class="share-buttons">Share this now</div></div><div id="footer">All rights</div></body>'
+        assert htmltext.main_text(page, {}) == want, mark
+    two = f"<article><p>short <a>one</a> <a>two</a> <a>three</a> <a>four</a></p></article><article>{article}</article>"
+    assert htmltext.main_text(two, {}) == want
+
+
 def test_extract_table(spark):
     page = PAGE.replace("{open}", "<article>").replace("{close}", "</article>")
     d = spark.createDataFrame([(1, "u", page, "x"), (1, "u", page, "x"), (2, None, None, "x"), (None, "u", "", "x")], "page_id long, url string, html string, text string")
