@@ -75,7 +75,7 @@ def read_page(page: str) -> list[tuple[str, str, int, int]]:
     """The page as units (feature, text, block, article): a tag has text None; text left out has none at all.
 
     A word's feature is ``words:`` and its innermost block element; article numbers the enclosing article or main
-    element, 0 if there is none. A marked element is left out unless it holds more than half of the page's words.
+    element, 0 if there is none. A marked element is left out unless the page has no article and it holds more than half of the words.
     """
     units, stack, open_ = [], [("", False, (), 0, "")], Counter()
     block = articles = marks = 0
@@ -132,7 +132,7 @@ def read_page(page: str) -> list[tuple[str, str, int, int]]:
             open_[name] += 1
     if at < len(page):
         text(page[at:])
-    gone = {i for i, around in under.items() if any(2 * within[mark] <= total for mark in around)}
+    gone = {i for i, around in under.items() if articles or any(2 * within[mark] <= total for mark in around)}
     return [u for i, u in enumerate(units) if i not in gone] if gone else units
 
 
