@@ -3,22 +3,20 @@
 Both run on Spark's state store, so a stream that is stopped, or loses its executors, goes on from its checkpoint with what it
 knew, and no earlier input is read again.
 
-* ``start_keep_first_stream``: the state of a copy group, named by its cell, version and text digest, says that its first row has been
-  passed on; later rows of the group, in any later batch, are dropped. Inside a batch the earliest row by source order stays. Only row
-  names pass through the operator, never a text.
+* ``start_keep_first_stream``: the state of a copy group, named by its cell, version and text digest, is its first row: the earliest batch, then
+  the source order, decide. A batch passes on the first rows of groups that it is the first to hold; it is told from others by its
+  time, which the stream's log fixes for a replay too. Only row names pass through the operator, never a text.
 * ``start_progress_stream``: running counts per cell in update mode; a batch writes the cells that it changed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 GROUP = ("subset", "split", "transcript_version", "digest")
 ORDER = ("src_rank", "file_path", "row_pos")
@@ -33,24 +31,12 @@ def _stream(spark: SparkSession, source_dir: str, schema: T.StructType, files_pe
 
 
 def first_rows(rows: DataFrame, keep: Sequence[str] = ("encounter_id",)) -> DataFrame:
-    """The rows of a stream (GROUP, ORDER and ``keep`` columns) that are the first of their group."""
-    keep = [c for c in keep if c not in (*GROUP, *ORDER)]
-    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    columns = [*GROUP, *ORDER, *keep]
-    order = list(ORDER)
-
-    def first(key: tuple, pieces: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.exists:
-            return
-        best = None
-        for pdf in pieces:  # a group's rows come in pieces; one row is held
-            pdf = pdf if best is None else pd.concat([best, pdf])
-            best = pdf.sort_values(order, kind="stable").head(1)
-        state.update((True,))
-        yield best[columns]
-
-    out = ", ".join(f"`{c}` {kinds[c]}" for c in columns)
-    return rows.select(*columns).groupBy(*GROUP).applyInPandasWithState(first, out, "seen boolean", "append", GroupStateTimeout.NoTimeout)
+    """For every group of a stream (GROUP, ORDER and ``keep`` columns): its first row in ``first``, with the time of its batch ``at``, and the time
+    of the group's ``latest`` batch. In update mode, rows whose two times are equal are first of their group."""
+    columns = [*ORDER, *(c for c in keep if c not in (*GROUP, *ORDER))]
+    order = F.struct("at", *(x for c in ORDER for x in (F.col(c).isNull(), F.col(c))))
+    timed = rows.select(*GROUP, *columns, F.current_timestamp().alias("at"))
+    return timed.groupBy(*GROUP).agg(F.min_by(F.struct("at", *columns), order).alias("first"), F.max("at").alias("latest"))
 
 
 def start_keep_first_stream(
@@ -64,11 +50,16 @@ def start_keep_first_stream(
 ) -> StreamingQuery:
     """Rows landing in ``source_dir`` (with the cell, version, order and dialogue columns) -> names of the rows kept, as Parquet.
 
-    The file sink's log makes every batch count once. The stream takes what is there and stops; start it again for more.
+    Every batch writes a partition of its own (``epoch``), which a replay replaces. The stream takes what is there and stops; start it again
+    for more.
     """
     rows = _stream(spark, source_dir, schema, files_per_batch).withColumn("digest", F.sha2(F.coalesce("dialogue", F.lit("")), 256))
-    kept = first_rows(rows, keep)
-    return kept.writeStream.format("parquet").option("path", out_dir).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+
+    def store(batch: DataFrame, epoch: int) -> None:
+        kept = batch.where("first.at = latest").select(*GROUP, "first.*").drop("at")
+        kept.withColumn("epoch", F.lit(epoch)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(out_dir)
+
+    return first_rows(rows, keep).writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).outputMode("update").trigger(availableNow=True).start()
 
 
 def start_progress_stream(

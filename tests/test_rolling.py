@@ -115,6 +115,14 @@ def test_copies_are_found_across_batches_and_restarts(spark, scratch):
     assert {(r.subset, r.n_rows) for r in sf.read_progress(spark, f"{scratch}/counts").collect()} == {("aci", 67), (None, 23)}
 
 
+def test_the_first_of_a_batch_is_found_without_python(spark):
+    kind = "encounter_id string, subset string, split string, transcript_version string, digest string, src_rank int, file_path string, row_pos long"
+    rows = [("c", "aci", None, "asr", "x", None, "a", 0), ("b", "aci", None, "asr", "x", 1, "f", 7), ("a", "aci", None, "asr", "x", 1, "f", 9), ("d", "aci", None, "asr", "y", 2, None, 1)]
+    found = sf.first_rows(spark.createDataFrame(rows, kind))
+    assert "Pandas" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {(r.digest, r["first"].encounter_id, r["first"].at == r.latest) for r in found.collect()} == {("x", "b", True), ("y", "d", True)}
+
+
 # -- bucketed lookup ------------------------------------------------------
 def test_no_exchange_carries_a_dialogue(spark, scratch):
     corpus = td.corpus(spark, SF_SMALL).select("subset", "split", "encounter_id", F.when(F.col("doc_id") % 3 > 0, F.col("transcript_version")).alias("transcript_version"), "dialogue")
